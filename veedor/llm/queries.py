@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repetition, simhash, token_files
+from . import repeated_bytes, repetition, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.remove_repeats(_table(spark, sf_dir, "documents"), length=200, with_text=False)
+
+
 def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     store = token_files.write_store(docs, tokenizer=token_files.vocabulary_path(), end_id=1)
@@ -34,6 +38,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_token_id_output": op6_token_id_output,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
