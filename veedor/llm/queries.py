@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import repeated_bytes, repetition, simhash, token_files
+from . import decontaminate, mixing, repeated_bytes, repetition, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op2_mix_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(_table(spark, sf_dir, "documents"), weights=(3.0, 1.0, 2.0), share=1.5, epochs=2.0))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repetition.quality_rules(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -37,10 +45,23 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_mix_to_target_weights": op2_mix_to_target_weights,
     "op3_quality_rules": op3_quality_rules,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_token_id_output": op6_token_id_output,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_mix_to_target_weights": r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5('mix:' || doc_id) AS key FROM documents),
+s AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM d GROUP BY source),
+w AS (SELECT *, 2.0::DOUBLE * source_size AS cap, (CASE (sid - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END)::DOUBLE AS weight FROM s),
+f AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY cap / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+l AS (SELECT arg_min(level, (cap / weight, sid)) AS level FROM f WHERE level <= cap / weight),
+t AS (SELECT source, source_size, CASE WHEN l.level IS NULL OR l.level * weight >= cap THEN cap ELSE l.level * weight END AS target FROM f, l),
+p AS (SELECT doc_id, size, source_size, target, round(target)::BIGINT AS words, sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS stop FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target, (greatest(0, least(stop, words) - (stop - size)) + greatest(0, least(stop + source_size, words) - (stop + source_size - size)))::BIGINT AS taken FROM p
+""",
+}
