@@ -6,6 +6,7 @@ executor never takes an intermediate result with it, and cut the lineage of iter
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -17,6 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Row id used inside operators; no input column may use it.
 RID = "__veedor_rid"
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -73,6 +75,13 @@ def n_words(text: Column) -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once: 1,000 rows and about 16 MB a batch."""
+    """Bound what a Python worker holds at once: 1,000 rows and about 16 MB a batch.
+
+    Workers that share this machine's files also find this package, wherever the driver was started.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16777216")
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, repeated_bytes, repetition, simhash, token_files
+from . import decontaminate, knn_quality, mixing, repeated_bytes, repetition, simhash, token_files, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The longest rule that fits a url decides.
+URL_RULES = (
+    urls.Rule("org", "/", True),
+    urls.Rule("example.org", "/es/", False),
+    urls.Rule("example.org", "/en/1", False),
+    urls.Rule("com", "/fr/", True),
+    urls.Rule("com", "/de/", False),
+)
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes.remove_repeats(_table(spark, sf_dir, "documents"), length=200, with_text=False)
 
@@ -39,6 +53,10 @@ def op6_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents_of(store).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -48,8 +66,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_mix_to_target_weights": op2_mix_to_target_weights,
     "op3_quality_rules": op3_quality_rules,
+    "op4_url_filters": op4_url_filters,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_token_id_output": op6_token_id_output,
+    "op7_quality_classifier": op7_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
