@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, knn_quality, mixing, repeated_bytes, repetition, simhash, token_files, urls
+from . import decontaminate, knn_quality, mixing, preferences, repeated_bytes, repetition, simhash, token_counts, token_files, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,15 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.document_counts(_table(spark, sf_dir, "documents")).select("doc_id", "n_tokens", "file", "ordinal")
+
+
+def op9_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = preferences.format_preferences(preferences.echo_pairs(_table(spark, sf_dir, "conversations")))
+    return out.select(F.col("id").alias("conv_id"), "n_common_turns", "prompt", "chosen", "rejected", "chosen_loss", "rejected_loss", "usable")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -70,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_token_id_output": op6_token_id_output,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_token_counts": op8_token_counts,
+    "op9_preference_formatting": op9_preference_formatting,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
@@ -83,5 +94,20 @@ l AS (SELECT arg_min(level, (cap / weight, sid)) AS level FROM f WHERE level <=
 t AS (SELECT source, source_size, CASE WHEN l.level IS NULL OR l.level * weight >= cap THEN cap ELSE l.level * weight END AS target FROM f, l),
 p AS (SELECT doc_id, size, source_size, target, round(target)::BIGINT AS words, sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS stop FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target, (greatest(0, least(stop, words) - (stop - size)) + greatest(0, least(stop + source_size, words) - (stop + source_size - size)))::BIGINT AS taken FROM p
+""",
+    "op9_preference_formatting": r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM t),
+l AS (SELECT conv_id, max(CASE WHEN role = 'assistant' THEN pos END) AS last FROM n GROUP BY conv_id),
+c AS (SELECT n.*, l.last, lag(text) OVER (PARTITION BY n.conv_id ORDER BY pos) AS echo FROM n JOIN l ON n.conv_id = l.conv_id AND pos <= l.last AND l.last > 1),
+e AS (SELECT *, max(CASE WHEN pos = last THEN CASE WHEN text = echo THEN last ELSE last - 1 END END) OVER (PARTITION BY conv_id) AS common, '<' || role || '>' || chr(10) AS head, chr(10) || '<end>' || chr(10) AS tail FROM c)
+SELECT conv_id, max(common)::INTEGER AS n_common_turns,
+  coalesce(string_agg(head || text || tail, '' ORDER BY pos) FILTER (WHERE pos <= common), '') AS prompt,
+  coalesce(string_agg(head || text || tail, '' ORDER BY pos) FILTER (WHERE pos > common), '') AS chosen,
+  coalesce(string_agg(head || echo || tail, '' ORDER BY pos) FILTER (WHERE pos > common), '') AS rejected,
+  coalesce(sum(length(text) + 7) FILTER (WHERE pos > common), 0)::BIGINT AS chosen_loss,
+  coalesce(sum(length(echo) + 7) FILTER (WHERE pos > common), 0)::BIGINT AS rejected_loss,
+  max(last) > max(common) AS usable
+FROM e GROUP BY conv_id
 """,
 }
