@@ -1,0 +1 @@
+"""Procurement-risk analytics as PySpark DataFrame operators."""
