@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RID, materialize, small_batches, stable_rows
+from .common import small_batches
 
 _BLANK = bytes(32 if i < 128 and not chr(i).isalnum() else i for i in range(256))
 _PAIRS = 256  # alignments at once
@@ -195,16 +195,14 @@ def _blocks(items: DataFrame, item_id: str, item_text: str, rules: LeakRules) ->
         yield Block(ids, texts, rules.n)
 
 
-def leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules(), id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per document and item that it holds a copy of: ids, similarity, and begin and end of the copy in words of the document."""
+def _with_rarity(docs: DataFrame, items: DataFrame, rules: LeakRules, text_col: str, item_id: str, item_text: str):
+    """Each block of items, broadcast, with the mask of its rare n-grams."""
     spark = docs.sparkSession
     small_batches(spark)
-    kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    schema = f"`{id_col}` {kind}, `{item_id}` {item_kind}, similarity double, doc_begin long, doc_end long"
-    out = None
-    total = docs.count()
+    texts = docs.select(F.col(f"`{text_col}`").alias("text"))
+    total = None
     for block in _blocks(items, item_id, item_text, rules):
+        total = docs.count() if total is None else total
         sent = spark.sparkContext.broadcast(block)  # of bounded size
 
         def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -212,34 +210,52 @@ def leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules(), id_
             n = np.zeros(len(block.grams), np.int64)
             for batch in batches:
                 _, starts, place, gram = block.seeds(batch.column(0).to_pylist())
-                text = np.searchsorted(starts, place, "right") - 1
-                n += np.bincount(np.unique(text * len(n) + gram) % max(1, len(n)), minlength=len(n)) if len(place) else 0
+                if len(place):
+                    text = np.searchsorted(starts, place, "right") - 1
+                    n += np.bincount(np.unique(text * len(n) + gram) % len(n), minlength=len(n))
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["gram", "n"])
 
-        found = texts.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+        found = texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
         often = np.zeros(len(block.grams), np.int64)
         for gram, n in found:  # no more rows than the block has n-grams
             often[gram] = n
-        rare = often <= max(1.0, rules.rare_share * total)
+        yield block, sent, often <= max(1.0, rules.rare_share * total)
+
+
+def leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules(), id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row per document and item that it holds a copy of: ids, similarity, and begin and end of the copy in words of the document."""
+    spark = docs.sparkSession
+    kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_id].dataType
+    item_type = pa.int64() if item_kind.simpleString() == "bigint" else pa.int32() if item_kind.simpleString() == "int" else pa.string()
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    schema = f"`{id_col}` {kind}, `{item_id}` {item_kind.simpleString()}, similarity double, doc_begin long, doc_end long"
+    out = None
+    for _, sent, rare in _with_rarity(docs, items, rules, text_col, item_id, item_text):
 
         def place(batches: Iterator[pa.RecordBatch], sent=sent, rare=rare) -> Iterator[pa.RecordBatch]:
             block = sent.value
             for batch in batches:
                 rows = block_leaks(block, rare, batch.column(1).to_pylist(), rules)
-                t = [r[0] for r in rows]
                 likeness = [r[2] / (2 * len(block.items[r[1]])) for r in rows]
-                cols = [batch.column(0).take(pa.array(t, pa.int64())), pa.array([block.ids[r[1]] for r in rows], items_type), pa.array(likeness, pa.float64()), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int64())]
+                cols = [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([block.ids[r[1]] for r in rows], item_type), pa.array(likeness, pa.float64()), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, [id_col, item_id, "similarity", "doc_begin", "doc_end"])
 
-        items_type = pa.from_numpy_dtype(np.int64) if item_kind == "bigint" else pa.int32() if item_kind == "int" else pa.string()
         part = texts.mapInArrow(place, schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules(), **cols) -> DataFrame:
-    """``docs`` without those that hold a copy of an item."""
-    rows = stable_rows(docs)
-    found = materialize(leaks(rows, items, rules, id_col=RID, **cols).select(RID).distinct(), "leaks")
-    return rows.join(found, RID, "left_anti").select(*docs.columns)
+def drop_leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules(), text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``docs`` without those that hold a copy of an item, all columns as they are. Nothing is shuffled."""
+    at, out = docs.columns.index(text_col), docs
+    for _, sent, rare in _with_rarity(docs, items, rules, text_col, item_id, item_text):
+
+        def clean(batches: Iterator[pa.RecordBatch], sent=sent, rare=rare) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[[r[0] for r in block_leaks(sent.value, rare, batch.column(at).to_pylist(), rules)]] = False
+                yield batch.filter(pa.array(keep))
+
+        out = out.mapInArrow(clean, docs.schema)
+    return out

@@ -176,3 +176,23 @@ def quality_rules(docs: DataFrame, rules: RepetitionRules = RepetitionRules(), i
     base = (n < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * n)
     bad = (F.col("covered_words") > rules.max_covered * n) | (F.col("longest_repeat") > rules.max_longest)
     return out.withColumn("base_failed", base).withColumn("kept", ~(base | bad))
+
+
+def passes(found: dict[str, np.ndarray], rules: RepetitionRules) -> np.ndarray:
+    """The verdict of ``quality_rules`` on the counts of ``analyse``."""
+    n = found["n_words"]
+    base = (n < rules.min_words) | (100 * found["n_repeat_words"] > rules.max_repeat_percent * n)
+    return ~(base | (found["covered_words"] > rules.max_covered * n) | (found["longest_repeat"] > rules.max_longest))
+
+
+def drop_low_quality(docs: DataFrame, rules: RepetitionRules = RepetitionRules(), text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that the rules reject, all columns as they are. Nothing is shuffled."""
+    small_batches(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array(passes(analyse(texts, rules), rules)))
+
+    return docs.mapInArrow(run, docs.schema)
