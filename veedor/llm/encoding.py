@@ -14,8 +14,9 @@ from __future__ import annotations
 import numpy as np
 from tokenizers import Tokenizer
 
-UNITS = 3_000_000  # in the table; then it starts again
-CHUNK = 1 << 21  # bytes taken apart at once
+UNITS = 1_500_000  # in the table; then it starts again
+AT_ONCE = 4096  # new units in one call of the tokenizer
+CHUNK = 1 << 19  # bytes taken apart at once
 _MARK = "</w>"
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -34,6 +35,18 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_SHARED: dict[tuple[str, bool], "Encoder"] = {}
+
+
+def shared_encoder(path: str, plain_specials: bool = False) -> Encoder:
+    """One encoder for all tasks of a worker process, with what it has learnt."""
+    key = path, plain_specials
+    if key not in _SHARED:
+        _SHARED.clear()
+        _SHARED[key] = Encoder(path, plain_specials)
+    return _SHARED[key]
+
+
 def _powers(x: int, n: int) -> np.ndarray:
     out = np.full(n, x, np.uint64)
     out[0] = 1
@@ -67,6 +80,8 @@ class Encoder:
 
     def _encode_units(self, units: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
+        if len(units) > AT_ONCE:
+            return [x for i in range(0, len(units), AT_ONCE) for x in self._encode_units(units[i : i + AT_ONCE])]
         lines = [units[i : i + 256] for i in range(0, len(units), 256)]
         for part, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, self.dtype)

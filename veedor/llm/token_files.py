@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, scratch_path, small_batches
-from .encoding import Encoder, vocabulary_path
+from .encoding import Encoder, shared_encoder, vocabulary_path
 
 SHARD_BYTES = 128 << 20  # of text
 BUCKET_KEYS = 1 << 17
@@ -175,7 +175,7 @@ def write_payload(docs: DataFrame, root: str, tokenizer: str, end_id: int, id_co
     width = dtype.itemsize
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, plain_specials)
+        encoder = shared_encoder(tokenizer, plain_specials)
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ids = batch.column(0)
