@@ -37,7 +37,7 @@ def validate_header(expected: Iterable[str], header: Iterable[str], path: str =
 def _csv(spark: SparkSession, path: str, columns: list[str], header: bool, encoding: str) -> DataFrame:
     spec = TableSpec("", "", "", tuple(columns)).schema().add(_BAD, "string")
     read = spark.read.schema(spec).option("header", header).option("encoding", encoding).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
-    return read.option("multiLine", False).option("quote", '"').option("escape", '"').option("enforceSchema", True).csv(path)
+    return read.option("multiLine", False).option("quote", '"').option("escape", '"').option("enforceSchema", True).option("columnPruning", False).csv(path)  # all fields, or bad rows go unseen
 
 
 def read_raw(spark: SparkSession, spec: TableSpec, path: str, encoding: str = "UTF-8", validate: bool = True) -> DataFrame:
@@ -55,7 +55,9 @@ def read_raw(spark: SparkSession, spec: TableSpec, path: str, encoding: str = "U
     else:
         df = _csv(spark, path, [f"_c{i}" for i in range(spec.width)], False, encoding)
         cols = [F.col(f"_c{i}").alias(c) for i, c in zip(spec.positions, spec.columns, strict=True)]
-    return df.select(*cols, _BAD, F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")).alias("ord"))
+    # Spark answers nothing that reads only the corrupt-record column; this one needs a second column
+    bad = F.when(F.col(_BAD).isNotNull() | (F.coalesce(cols[0], F.lit("")) == "\0"), F.col(_BAD)).alias(_BAD)
+    return df.select(*cols, bad, F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")).alias("ord"))
 
 
 def read_table(spark: SparkSession, name: str, config: EngineConfig = EngineConfig(), path: str | None = None, columns: Iterable[str] | None = None) -> DataFrame:

@@ -1,0 +1 @@
+"""Scoring of contracts as they arrive."""
