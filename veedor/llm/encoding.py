@@ -192,7 +192,7 @@ class Encoder:
             t = t or b""
             if len(t) > 2 * CHUNK:  # in parts that end at white space
                 flush()
-                out.append(b"".join(x[: len(x) - len(tail)] if tail else x for x in self.encode(_parts(t), end_id)) + tail)
+                out.append(b"".join(self._chunk(x + b"\n", np.array([len(x)]))[0].tobytes() for x in _parts(t)) + tail)
                 continue
             held.append(t)
             size += len(t)
