@@ -12,6 +12,7 @@ multiple of the id width is an error.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,12 +20,13 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from .common import materialize, scratch_path, small_batches
-from .encoding import vocabulary_path
-from .token_files import shard_of, write_payload
+from .common import RID, materialize, scratch_path, small_batches, stable_rows
+from .encoding import Encoder, shared_encoder, vocabulary_path
 
 BLOCK_BYTES = 8 << 20
+PARTITION_BITS = 33  # of a row id, below the number of its partition
 
 
 def list_files(root: str, suffix: str = ".ids") -> list[tuple[str, int]]:
@@ -69,23 +71,50 @@ def count_tokens(spark: SparkSession, root: str, end_id: int, dtype: str = "<u2"
     return whole.unionByName(rest)
 
 
+def write_flat(rows: DataFrame, root: str, tokenizer: str, end_id: int, text_col: str = "text") -> str:
+    """Encode rows that carry RID into flat files, one for each partition, in the order of rows. Returns the type of an id."""
+    small_batches(rows.sparkSession)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = shared_encoder(tokenizer, True)
+        fs, base = pafs.FileSystem.from_uri(root)
+        fs.create_dir(base, recursive=True)
+        out, name, part, n = None, "", "", 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if out is None:
+                name = f"part-{batch.column(0)[0].as_py() >> PARTITION_BITS:06d}.ids"
+                part = f"{base}/.{name}-{uuid.uuid4().hex}"
+                out = fs.open_output_stream(part)
+            for ids in encoder.encode(batch.column(1).to_pylist(), end_id):
+                out.write(ids)
+            n += batch.num_rows
+        if out is not None:
+            out.close()
+            fs.move(part, f"{base}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], ["file", "n"])
+
+    rows.select(RID, F.col(f"`{text_col}`").cast("binary")).mapInArrow(write, "file string, n long").agg(F.sum("n")).collect()
+    return Encoder(tokenizer).dtype.str
+
+
 def document_counts(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Write ``docs`` to flat files in ascending order of ids, scan the files and give each id its count: id, n_tokens, file, ordinal.
+    """Write ``docs`` to flat files, scan the files and give each id its count: id, n_tokens, file, ordinal.
 
-    The end id is the vocabulary's <|endoftext|> unless another is given; texts never hold it, as
-    special tokens in them are encoded as ordinary text. Null and empty texts are one id long.
+    Files hold the rows of a partition in their order, so that nothing is shuffled to write them and a
+    row's file and ordinal are its row id. The end id is the vocabulary's <|endoftext|> unless another
+    is given; texts never hold it, as special tokens in them are encoded as ordinary text. Null and
+    empty texts are one id long.
     """
     spark = docs.sparkSession
     path = tokenizer or vocabulary_path()
     if end_id is None:
-        from tokenizers import Tokenizer
-
         end_id = Tokenizer.from_file(path).token_to_id("<|endoftext|>")
     root = scratch_path(spark, "flat")
-    _, cuts, dtype = write_payload(docs, root, path, end_id, id_col, text_col, plain_specials=True)
+    rows = stable_rows(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")))
+    dtype = write_flat(rows, root, path, end_id)
     counts = materialize(count_tokens(spark, root, end_id, dtype, block_bytes), "counts")
-    ids = docs.select(F.col(f"`{id_col}`").alias("id"))
-    ids = ids.withColumn("shard", shard_of(F.col("id"), cuts))
-    ids = ids.withColumn("ordinal", F.row_number().over(Window.partitionBy("shard").orderBy(F.col("id").asc_nulls_last())) - 1)
-    ids = ids.withColumn("file", F.format_string("shard-%06d.ids", "shard"))
-    return ids.join(counts, ["file", "ordinal"]).select(F.col("id").alias(id_col), "n_tokens", "file", "ordinal")
+    number = F.regexp_extract("file", r"(\d+)", 1).cast("long")
+    counts = counts.withColumn(RID, F.shiftleft(number, PARTITION_BITS) + F.col("ordinal"))
+    return rows.select(RID, "id").join(counts, RID).select(F.col("id").alias(id_col), "n_tokens", "file", "ordinal")
