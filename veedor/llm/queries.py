@@ -94,6 +94,32 @@ l AS (SELECT arg_min(level, (cap / weight, sid)) AS level FROM f WHERE level <=
 t AS (SELECT source, source_size, CASE WHEN l.level IS NULL OR l.level * weight >= cap THEN cap ELSE l.level * weight END AS target FROM f, l),
 p AS (SELECT doc_id, size, source_size, target, round(target)::BIGINT AS words, sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS stop FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target, (greatest(0, least(stop, words) - (stop - size)) + greatest(0, least(stop + source_size, words) - (stop + source_size - size)))::BIGINT AS taken FROM p
+""",
+    # Windows of five words repeat where repeats of five words and more do, so the covered words are the repeated ones.
+    "op3_quality_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS g1 FROM d),
+a AS (SELECT doc_id, i, g1, lead(g1, 1) OVER o AS b1, lead(g1, 2) OVER o AS b2, lead(g1, 3) OVER o AS b3, lead(g1, 4) OVER o AS b4 FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+e AS (SELECT doc_id, i, g1, g1 || ' ' || b1 AS g2, g1 || ' ' || b1 || ' ' || b2 AS g3, g1 || ' ' || b1 || ' ' || b2 || ' ' || b3 AS g4, g1 || ' ' || b1 || ' ' || b2 || ' ' || b3 || ' ' || b4 AS g5 FROM a),
+k AS (SELECT doc_id, i, 1 AS k, g1 AS g FROM e UNION ALL SELECT doc_id, i, 2, g2 FROM e WHERE g2 IS NOT NULL UNION ALL SELECT doc_id, i, 3, g3 FROM e WHERE g3 IS NOT NULL UNION ALL SELECT doc_id, i, 4, g4 FROM e WHERE g4 IS NOT NULL UNION ALL SELECT doc_id, i, 5, g5 FROM e WHERE g5 IS NOT NULL),
+r AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k, g) AS n FROM k) WHERE n > 1),
+s AS (SELECT doc_id, max(k) AS k FROM r GROUP BY doc_id),
+c AS (SELECT doc_id, sum(least(5, coalesce(next - i, 5))) AS covered FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM r WHERE k = 5) GROUP BY doc_id),
+q AS (SELECT a.doc_id, b.i - a.i AS gap, a.i - row_number() OVER (PARTITION BY a.doc_id, b.i - a.i ORDER BY a.i) AS run FROM r a JOIN r b ON a.doc_id = b.doc_id AND a.g = b.g AND a.i < b.i WHERE a.k = 5 AND b.k = 5),
+m AS (SELECT doc_id, max(n) + 4 AS longest FROM (SELECT doc_id, count(*) AS n FROM q GROUP BY doc_id, gap, run) GROUP BY doc_id),
+f AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered, 0)::BIGINT AS n_repeat_words, coalesce(longest, s.k, 0)::BIGINT AS longest_repeat FROM d JOIN l ON d.doc_id = l.doc_id LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id)
+SELECT *, n_repeat_words AS covered_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR longest_repeat > 100) AS kept FROM f
+""",
+    "op5_suffix_array_dedup": r"""
+WITH h AS (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
+w AS (SELECT doc_id, p, md5(x[p + 1:p + 200]) AS g FROM (SELECT doc_id, x, unnest(range(0, greatest(0, octet_length(x) - 199))) AS p FROM h)),
+r AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM w) WHERE n > 1),
+i AS (SELECT doc_id, p, sum(first) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 200 THEN 0 ELSE 1 END AS first FROM r)),
+b AS (SELECT doc_id, min(p) AS a, max(p) + 200 AS z FROM i GROUP BY doc_id, span),
+k AS (SELECT b.doc_id, sum(z - a) AS removed, count(*) AS spans, string_agg(hex(x[before + 1:a]), '' ORDER BY a) AS head, max(z) AS last FROM (SELECT *, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM b) b JOIN h ON h.doc_id = b.doc_id GROUP BY b.doc_id)
+SELECT h.doc_id, octet_length(x)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, CASE WHEN removed IS NULL THEN sha256(x) ELSE sha256(unhex(head || hex(x[last + 1:octet_length(x)]))) END AS kept_sha256
+FROM h LEFT JOIN k ON k.doc_id = h.doc_id
 """,
     "op9_preference_formatting": r"""
 WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
