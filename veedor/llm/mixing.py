@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import RID, WORD, materialize, n_words, stable_rows
 
 BLOCK = 256  # words of a slot at most, and more than half of it unless the mix is tiny
-CHUNK = 1 << 16  # slots that one row of the schedule unfolds to
+CHUNK = 1 << 15  # slots that one row of the schedule unfolds to
 BUCKET_ROWS = 20_000
 
 
@@ -78,10 +78,10 @@ def _below(n: Column, end: Column, reversed_end: Column, bits: int) -> Column:
     return F.when(end >= F.lit(1 << bits), n).otherwise(total)
 
 
-def _schedule(sources: DataFrame, bits: int) -> DataFrame:
+def _schedule(sources: DataFrame, bits: int, n_slots: int) -> DataFrame:
     ends = sources.filter("slots > 0").select("sid", "slots", "low", "high").withColumn("rev_low", _reverse(F.col("low"), bits))
     ends = ends.withColumn("rev_high", F.when(F.col("high") < (1 << bits), _reverse(F.col("high"), bits)).otherwise(F.lit(0).cast("long")))
-    part = ends.withColumn("from", F.explode(F.sequence("low", F.col("high") - 1, F.lit(CHUNK).cast("long")))).repartition("from")
+    part = ends.withColumn("from", F.explode(F.sequence("low", F.col("high") - 1, F.lit(CHUNK).cast("long")))).repartition(n_slots // CHUNK + 1, "sid", "from")
     point = part.withColumn("point", F.explode(F.sequence("from", F.least(F.col("from") + (CHUNK - 1), F.col("high") - 1))))
     slots = point.withColumn("slot", _reverse(F.col("point"), bits))
     rank = _below(F.col("slot"), F.col("high"), F.col("rev_high"), bits) - _below(F.col("slot"), F.col("low"), F.col("rev_low"), bits)
@@ -104,7 +104,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: fl
     upto = F.sum("slots").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0))
     sources = materialize(sources.withColumn("high", upto).withColumn("low", F.col("high") - F.col("slots")), "targets")
     n_slots = sources.agg(F.max("high")).first()[0] or 0
-    schedule = _schedule(sources, max(1, int(n_slots).bit_length()))
+    schedule = materialize(_schedule(sources, max(1, int(n_slots).bit_length()), int(n_slots)), "schedule")
 
     digits = 0
     while n_rows > BUCKET_ROWS * 16**digits:
@@ -125,7 +125,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: fl
     turn = turn.withColumn("a", F.col("begin") + shift).withColumn("z", F.least(F.col("stop") + shift, F.col("words"))).filter("a < z")
     cut = turn.withColumn("rank", F.explode(F.sequence(F.floor(F.col("a") / F.lit(block)), F.floor((F.col("z") - 1) / F.lit(block)))))
     first = F.greatest("a", F.col("rank") * block)
-    pieces = cut.join(schedule, ["sid", "rank"]).select("slot", "sid", "rank", RID, "epoch", (first - F.col("a")).alias("skip"), (F.least("z", (F.col("rank") + 1) * block) - first).alias("n_words"))
+    # both sides grow with the corpus, whatever the planner makes of their unfolded rows
+    pieces = cut.join(schedule.hint("merge"), ["sid", "rank"]).select("slot", "sid", "rank", RID, "epoch", (first - F.col("a")).alias("skip"), (F.least("z", (F.col("rank") + 1) * block) - first).alias("n_words"))
     return Mix(placed, sources, schedule, pieces, block)
 
 
