@@ -145,7 +145,7 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", **how) -> DataFrame
     """
     rows = stable_rows(docs)
     mixed = mix(rows, text_col=text_col, **how)
-    parts = mixed.pieces.groupBy(RID, "epoch").agg(F.sum("n_words").alias("__n"))
+    parts = mixed.pieces.groupBy(RID, F.col("epoch").alias("__epoch")).agg(F.sum("n_words").alias("__n"))
     parts = parts.join(mixed.documents.select(RID, F.col("size").alias("__size")), RID)
     parts = materialize(parts, "parts")
     out = rows.join(parts, RID)
