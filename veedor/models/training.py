@@ -88,7 +88,7 @@ def train(df: DataFrame, id_col: str, label: str, features: Sequence[str], confi
     """Stratified split, search over candidates and both strategies by mean fold AUC (ties: weights first), final fit on the training part."""
     known = df.filter(F.col(label).isNotNull())
     parts = stratified_split(known, label, config.share, id_col=id_col, seed=config.seed)
-    # written once by the caches of executors with replicas; a lost one is computed again
+    # read by every fold and candidate; what a lost executor held is computed again from its source
     fit_part = folds(parts.filter("train"), label, config.folds, id_col, config.seed).drop("train").persist()
     pos = fit_part.agg(F.sum(label)).first()[0] or 0
     k = max(2, min(config.folds, int(pos)))
