@@ -170,7 +170,8 @@ def repeated_spans(rows: DataFrame, length: int = 200, anchor: int = ANCHOR, bin
                 yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(key), pa.array((at - first).astype(np.int32)), pa.array(first), pa.array(n.astype(np.int32))], [RID, "key", "before", "first", "n"])
 
     places = materialize(texts.mapInArrow(cut, f"{RID} long, key long, before int, first long, n int"), "places")
-    twice = places.groupBy("key").agg(F.count(F.lit(1)).alias("__c")).filter("__c > 1").select("key")
+    # written first: a join that shares the sum's shuffle could not split a hot key
+    twice = materialize(places.groupBy("key").agg(F.count(F.lit(1)).alias("__c")).filter("__c > 1").select("key"), "keys")
     wanted = places.join(twice, "key", "left_semi")
     piece = F.substring("text", F.col("first").cast("int") + 1, F.col("n") + F.lit(length - 1))
     segments = wanted.join(texts, RID).select(RID, "key", "before", "first", "n", piece.alias("segment"))
