@@ -28,6 +28,9 @@ from .common import RID, materialize, small_batches, stable_rows
 from .components import connected_components
 
 
+SPREAD = 16_384  # fingerprints whose balls one task emits
+
+
 def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     """64 bits, each 1 if it is set in over half of the hashes of the shingles."""
     words = (text or b"").lower().split()
@@ -66,14 +69,17 @@ def ball_links(fingerprints: DataFrame, half: int = 1) -> DataFrame:
     masks = [sum(1 << b for b in bits) for k in range(half + 1) for bits in combinations(range(64), k)]
     masks = [m - (1 << 64) if m >> 63 else m for m in masks]
     ball = F.explode(F.array(*(F.lit(m).cast("long") for m in masks)))
-    visits = fingerprints.select("fp").distinct().select("fp", ball.alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
+    fingerprints = materialize(fingerprints.select("fp").distinct(), "distinct")
+    # 65 rows from each: dealt anew, as the few megabytes of fingerprints would be read by one or two tasks
+    spread = fingerprints.repartition(fingerprints.count() // SPREAD + 1, "fp")
+    visits = spread.select("fp", ball.alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
     # Nearly all variants have one visitor. The others go on, with the smallest visitor as their hub.
     met = visits.groupBy("variant").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = materialize(met, "variants")
     pairs = met.filter("n = 2").select("a", "b")
     # A visitor of a crowded variant is found again from the variant: its ball is the variant's ball.
     crowd = met.filter("n > 2").select("a", F.col("variant"), ball.alias("mask")).select("a", F.col("variant").bitwiseXOR(F.col("mask")).alias("b"))
-    crowd = crowd.join(fingerprints.select(F.col("fp").alias("b")).distinct(), "b", "left_semi").select("a", "b")
+    crowd = crowd.join(fingerprints.select(F.col("fp").alias("b")), "b", "left_semi").select("a", "b")
     far = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     return pairs.unionByName(crowd).filter((F.col("a") != F.col("b")) & (far <= 2 * half)).distinct()
 
