@@ -1,0 +1,188 @@
+"""Near-duplicates by exact Jaccard similarity of word shingle sets.
+
+Two sets of similarity t or more share at least t times the larger set. So in any common order of
+all shingles the first ``n - ceil(t * n) + 1`` shingles of either hold a common one, and only
+documents that meet at such a prefix shingle need comparing: no similar pair is missed. The order
+puts shingles first that a sample of the documents holds rarely, so that common lines and passages
+are in the prefix of hardly any document; the sample decides the work, not the result.
+
+Copies collapse to one set first. Visitors of a shingle are compared with a few of them, then only
+visitors that no link connects so far are compared with each other. A large group of near copies so
+costs a few comparisons a member and shingle. Sets are fetched for pairs only whose parity
+bitmaps differ in few enough bits: two sets differ in at least as many shingles as bits.
+
+Sets are of 64-bit hashes. Texts of fewer words than a shingle are one shingle. Null and empty texts
+are copies of each other and similar to nothing else. Ties do not matter: links are between groups
+of equal sets.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import RID, discard, materialize, small_batches, stable_rows
+from .components import connected_components
+
+SAMPLE_ROWS, SAMPLE_PARTS = 10_000, 4  # the sample has so many rows, or a row of so many if that is more
+LONGS = 16  # of 64 bits, in the bitmap of a set
+HUBS = 8  # visitors of a shingle that all others are compared with
+SEEN, COMMON = 3, 1 << 20  # a common shingle occurs so often in the sample; the order knows so many at most
+
+
+def shingle_set(text: bytes | None, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text."""
+    words = (text or b"").lower().split()
+    if not words:
+        return np.empty(0, np.int64)
+    line = b" ".join(words)
+    stops = np.cumsum([len(w) + 1 for w in words])
+    starts = [0, *stops[:-shingle].tolist()]
+    ends = (stops[shingle - 1 :] - 1).tolist() or [len(line)]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(line[a:b], seed) for a, b in zip(starts, ends, strict=True)], np.uint64).view(np.int64))
+
+
+def _lists(sets: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
+
+
+def _sets(rows: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """RID and ``set``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists([shingle_set(t, shingle) for t in batch.column(1).to_pylist()])], [RID, "set"])
+
+    return rows.select(RID, F.col(f"`{text_col}`").cast("binary")).mapInArrow(run, f"{RID} long, set array<long>")
+
+
+def _common(rows: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur often in a sample of the rows, sorted, and their counts."""
+    part = max(1, 1024 // SAMPLE_PARTS, min(1024, SAMPLE_ROWS * 1024 // max(1, rows.count())))
+    sample = rows.filter(F.pmod(F.xxhash64(RID), F.lit(1024)) < part)
+    seen = _sets(sample, text_col, shingle).select(F.explode("set").alias("token")).groupBy("token").count().filter(F.col("count") >= SEEN)
+    found = seen.orderBy(F.desc("count"), "token").limit(COMMON).toArrow()
+    tokens, counts = found["token"].to_numpy(), found["count"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], counts[order]
+
+
+def _prefixes(rows: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """RID, id, ``key`` (equal for equal sets), ``n`` (the set's size), ``bits`` (for each bit the parity of its shingles) and ``prefix``."""
+    tokens, counts = _common(rows, text_col, shingle)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sizes, bits, prefixes = [], [], [], []
+            for text in batch.column(2).to_pylist():
+                s = shingle_set(text, shingle)
+                n = len(s)
+                keys.append(xxhash.xxh3_128_digest(s.tobytes()))
+                sizes.append(n)
+                odd = np.bincount(s & (64 * LONGS - 1), minlength=64 * LONGS) & 1
+                bits.append(np.packbits(odd.astype(bool), bitorder="little").view("<i8"))
+                if n and len(tokens):
+                    at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
+                    s = s[np.argsort(np.where(tokens[at] == s, counts[at], 0), kind="stable")]
+                prefixes.append(s[: n + (-n * percent) // 100 + 1] if n else s)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), _lists(bits), _lists(prefixes)], [RID, "id", "key", "n", "bits", "prefix"])
+
+    kind = rows.schema[id_col].dataType.simpleString()
+    return rows.select(RID, F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("binary")).mapInArrow(run, f"{RID} long, id {kind}, key binary, n long, bits array<long>, prefix array<long>")
+
+
+def _reaches(overlap: Column, n: Column, m: Column, percent: int) -> Column:
+    return overlap * (100 + percent) >= (n + m) * percent
+
+
+def _links(rows: DataFrame, groups: DataFrame, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """(node, component) of the groups that are similar to others."""
+    visits = groups.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+    hubs = visits.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("hub"), F.count(F.lit(1)).alias("visitors")).filter("visitors > 1").drop("visitors")
+    met = materialize(visits.join(hubs.hint("merge"), "token"), "visits")
+
+    def may(a: str, b: str) -> Column:
+        """Whether the shingles before, at and after the common one can reach the similarity."""
+        c = {k: (F.col(f"{a}{k}"), F.col(f"{b}{k}")) for k in ("n", "pos")}
+        after = F.least(c["n"][0] - c["pos"][0], c["n"][1] - c["pos"][1])
+        return _reaches(F.least(*c["pos"]) + after, *c["n"], percent)
+
+    def with_component(df: DataFrame, comp: DataFrame, at: str, name: str) -> DataFrame:
+        named = df.join(comp.select(F.col("node").alias(at), F.col("component").alias(name)), at, "left")
+        return named.withColumn(name, F.coalesce(name, at))
+
+    def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+        return with_component(with_component(pairs, comp, "a", "__a"), comp, "b", "__b").filter("__a <> __b").select("a", "b")
+
+    def all_pairs(comp: DataFrame) -> DataFrame:
+        """Visitors of one shingle in different components."""
+        of = materialize(with_component(met.select("token", "node", "n", "pos"), comp, "node", "c"), "visits")
+        here = of.select("token", "c").distinct()
+        several = here.join(here.groupBy("token").count().filter("count > 1").select("token"), "token", "left_semi")
+        several = materialize(several, "meetings")
+        two = several.withColumnRenamed("c", "c1").join(several.withColumnRenamed("c", "c2"), "token").filter("c1 < c2")
+        one = two.join(of.select("token", F.col("c").alias("c1"), F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("pos").alias("a_pos")), ["token", "c1"])
+        both = one.join(of.select("token", F.col("c").alias("c2"), F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("pos").alias("b_pos")), ["token", "c2"])
+        return both.filter(may("a_", "b_")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        side = lambda k: groups.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}"))
+        both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+        differ = sum((F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(LONGS)), F.lit(0))
+        total = F.col("n_a") + F.col("n_b")
+        pairs = materialize(both.filter(differ * (100 + percent) <= total * (100 - percent)).select("a", "b"), "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias(RID)).distinct()
+        sets = materialize(_sets(rows.join(ends, RID, "left_semi"), text_col, shingle), "sets")
+        side = lambda k: sets.select(F.col(RID).alias(k), F.col("set").alias(f"set_{k}"))
+        both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+        out = both.filter(_reaches(F.size(F.array_intersect("set_a", "set_b")), F.size("set_a"), F.size("set_b"), percent)).select("a", "b")
+        out = materialize(out, "links")
+        discard(sets)
+        discard(pairs)
+        return out
+
+    flat = met.select("node", "n", "pos", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"))
+    starred = flat.filter(F.col("node") != F.col("hub")).filter(may("", "hub_")).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+
+    def many_hubs() -> DataFrame:
+        """Visitors with the smallest visitor of each of HUBS parts of a shingle's visitors."""
+        hubs = met.groupBy("token", F.pmod(F.xxhash64("node"), F.lit(HUBS))).agg(F.min(F.struct("node", "n", "pos")).alias("h"))
+        hubs = hubs.select("token", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.pos").alias("hub_pos"))
+        both = met.select("token", "node", "n", "pos").join(hubs.hint("merge"), "token").filter("node <> hub").filter(may("", "hub_"))
+        return both.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+    # one hub a member, then many hubs a shingle, then all visitors; each only where nothing connects the two yet
+    tried = materialize(starred.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
+    links = similar(tried)
+    comp = connected_components(links)
+    for more in (many_hubs, lambda: all_pairs(comp)):
+        pairs = materialize(apart(more(), comp).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        tried = tried.unionByName(pairs)
+        found = similar(pairs)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            comp = connected_components(links)
+    return comp
+
+
+def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component of pairs whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more: the one with the smallest id (nulls last), then the first row."""
+    small_batches(docs.sparkSession)
+    rows = stable_rows(docs)
+    sets = materialize(_prefixes(rows, id_col, text_col, shingle, percent), "prefixes")
+    first = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col(RID).alias("rid"))
+    groups = sets.groupBy("key").agg(F.min(first).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
+    groups = materialize(groups.withColumn("node", F.col("first.rid")).drop("key"), "groups")
+    comp = _links(rows, groups, text_col, shingle, percent)
+    named = groups.select("node", "first").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    kept = named.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.rid").alias(RID))
+    return rows.join(kept, RID, "left_semi").drop(RID)
