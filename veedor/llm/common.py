@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,19 +23,37 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_WRITTEN: list[str] = []
+MOST_TASKS = 20_000  # of one stage: beyond it tasks grow, not their number
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster, or a temporary one where none is set (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The shared folder of the cluster. A local session without one gets a temporary folder; a cluster without one is an error."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         path = "file://" + tempfile.mkdtemp(prefix="veedor-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/veedor-{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/veedor-{tag}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and path behind the uri of a shared folder, for files that tasks write themselves."""
+    scheme, rest = uri.split("://", 1) if "://" in uri else ("", uri)
+    scheme = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}.get(scheme, scheme)
+    return pafs.FileSystem.from_uri(f"{scheme}://{rest}") if scheme else pafs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") else f"file://{uri}")
+
+
+def tasks_for(n: int, each: int) -> int:
+    """How many tasks share n units: about ``each`` to a task, more where that would be too many tasks."""
+    return int(min(n // each + 1, MOST_TASKS))
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
@@ -52,21 +71,33 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a scratch table that nothing reads any more."""
-    path = getattr(df, "_veedor_path", None)
-    if path:
-        jvm = df.sparkSession.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_veedor_path", None):
+            _delete(df.sparkSession, path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete all scratch tables and files that this process has written: for the end of a job, when its results are stored."""
+    for path in list(_WRITTEN):
+        _delete(spark, path)
 
 
 def stable_rows(docs: DataFrame) -> DataFrame:
-    """Add ``RID``, the same on every evaluation. A plan that shuffles is written out first."""
-    plan = docs._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan or "Sample" in plan:
-        docs = materialize(docs, "rows")
-    return docs.withColumn(RID, F.monotonically_increasing_id())
+    """``docs`` with ``RID``, a number for each row, written once.
+
+    Numbers that are made anew by each job follow the way files are split, and that follows the number
+    of cores at that moment; so nothing but the written table may be read after this.
+    """
+    return materialize(docs.withColumn(RID, F.monotonically_increasing_id()), "rows")
 
 
 def n_words(text: Column) -> Column:
@@ -75,7 +106,7 @@ def n_words(text: Column) -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at once: 1,000 rows and about 16 MB a batch.
+    """Bound what a Python worker holds at once: 1,000 rows and about 16 MB a batch, for the whole session.
 
     Workers that share this machine's files also find this package, wherever the driver was started.
     """

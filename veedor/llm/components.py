@@ -2,8 +2,8 @@
 
 Every round is two aggregations and two equi-joins over the edges; its result is written to the
 shared folder, so the plan stays short and a lost executor costs one round at most. A hub with very
-many neighbours is only ever a join key whose rows adaptive execution can split: its minimum is
-pre-aggregated, its neighbours are never gathered in one place.
+many neighbours is never gathered in one place: its minimum is pre-aggregated and written, so that
+both sides of the join are plain shuffles, whose skewed partitions adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -28,14 +28,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         # large-star: every larger neighbour of a node links to the node's smallest neighbour
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = materialize(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         # small-star: every smaller neighbour of a node, and the node, link to its smallest neighbour
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("x"), "m").filter("x <> m")
+        below = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = large.join(below, "u").select(F.explode(F.array("u", "v")).alias("x"), "m").filter("x <> m")
         after = materialize(small.select(F.col("x").alias("u"), F.col("m").alias("v")).distinct(), "edges")
         key = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        discard(now)
+        discard(now, least, large, below)
         now = after
         if tuple(key) == sign:
             break

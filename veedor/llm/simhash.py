@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RID, materialize, small_batches, stable_rows
+from .common import RID, discard, materialize, small_batches, stable_rows, tasks_for
 from .components import connected_components
 
 
@@ -71,7 +71,7 @@ def ball_links(fingerprints: DataFrame, half: int = 1) -> DataFrame:
     ball = F.explode(F.array(*(F.lit(m).cast("long") for m in masks)))
     fingerprints = materialize(fingerprints.select("fp").distinct(), "distinct")
     # 65 rows from each: dealt anew, as the few megabytes of fingerprints would be read by one or two tasks
-    spread = fingerprints.repartition(fingerprints.count() // SPREAD + 1, "fp")
+    spread = fingerprints.repartition(tasks_for(fingerprints.count(), SPREAD), "fp")
     visits = spread.select("fp", ball.alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
     # Nearly all variants have one visitor. The others go on, with the smallest visitor as their hub.
     met = visits.groupBy("variant").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -94,7 +94,7 @@ def _with_components(sigs: DataFrame, id_col: str, half: int) -> DataFrame:
     least = sigs.groupBy("fp").agg(F.min(id_col).alias("__least"))
     comp = connected_components(ball_links(sigs, half)).withColumnRenamed("node", "fp")
     named = least.join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    names = named.groupBy("component").agg(F.min("__least").alias("component_id"))
+    names = materialize(named.groupBy("component").agg(F.min("__least").alias("component_id")), "names")  # a join with a plain table can split a hot component
     by_fp = named.select("fp", "component").join(names, "component").select("fp", "component_id", "component")
     return sigs.join(by_fp, "fp").withColumnRenamed("component", "__component")
 
@@ -105,5 +105,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     sigs = materialize(signatures(rows, [RID, id_col], text_col, shingle, seed), "fingerprints")
     comp = _with_components(sigs, id_col, half)
     first = F.min_by(F.col(RID), F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col(RID).alias("r")))
-    kept = comp.groupBy("__component").agg(first.alias(RID)).select(RID)
+    kept = materialize(comp.groupBy("__component").agg(first.alias(RID)).select(RID), "kept")
+    discard(sigs)
     return rows.join(kept, RID, "left_semi").drop(RID)
