@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veedor.llm import decontaminate, mixing, repetition, shingle_sets, token_files
+from veedor.llm import decontaminate, mixing, near_copies, repetition, token_files
 from veedor.llm.common import materialize
 
 
@@ -19,8 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that five-word shingle sets of Jaccard similarity 0.8 or more connect."""
-    return shingle_sets.drop_similar(docs)
+    """One document of each group that SimHash finds and five-word shingle sets of Jaccard similarity 0.8 or more connect."""
+    return near_copies.drop_near_copies(docs, shingle=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
