@@ -73,15 +73,22 @@ def test_all_links_with_enough_blocks(spark):
 
 
 def test_pairs_that_balls_must_meet_at(spark):
-    """All pairs of blocks within two bits and no others, components apart, from crowded variants too."""
+    """All pairs of blocks within two bits and no others, components apart, from crowded variants too; bits that are far apart count as no pair."""
     rng, width = random.Random(3), 16
+    plan = near_copies.Plan(width, 2, 80)
     rows = []
     for k in range(12):
         center = [rng.getrandbits(width) for _ in range(2)]
         for i in range(8):
-            rows.append((10 * k + i, [c ^ sum(1 << b for b in rng.sample(range(width), rng.randint(0, 2))) for c in center], 10 * k + i % 3))
-    got = near_copies._met(spark.createDataFrame(rows, "node long, blocks array<long>, c long"), width, 0, 2).collect()
-    want = {(a, b) for a, x, c in rows for b, y, d in rows if a < b and c != d and any((p ^ q).bit_count() <= 2 for p, q in zip(x, y, strict=True))}
+            rows.append((10 * k + i, [2**62 - 1 if i == 7 else 0] * near_copies.CHECK + [c ^ sum(1 << b for b in rng.sample(range(width), rng.randint(0, 2))) for c in center], 10 * k + i % 3))
+    nodes = spark.createDataFrame(rows, "node long, bits array<long>, c long")
+    comp = spark.createDataFrame([(n, c) for n, _, c in rows], "node long, component long")
+    alone, of = near_copies._meetings(nodes, plan, 0, 2)
+    got = near_copies._close(alone, nodes, plan).collect()
+    between = near_copies._between(of, nodes, comp, plan).collect()
+    assert len(between) == len({tuple(r) for r in between})
+    got = [*{tuple(r) for r in [*got, *between]}]
+    want = {(a, b) for a, x, c in rows for b, y, d in rows if a < b and c != d and x[0] == y[0] and any((p ^ q).bit_count() <= 2 for p, q in zip(x[near_copies.CHECK :], y[near_copies.CHECK :], strict=True))}
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 

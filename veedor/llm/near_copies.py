@@ -7,14 +7,16 @@ is done block by block: every block emits itself and its variants with one bit f
 blocks meet at a variant exactly if they differ in two bits at most. A block is eight bits wider than
 the number of documents in binary, so that a document meets a bounded number of others by chance
 however many there are, and there are as many blocks as give a pair at the similarity a chance of
-``recall`` to meet. Pairs that meet are compared by 64 further bits, which no similar pair in 30,000
-fails, and then by their whole sets.
+``recall`` to meet. Pairs that meet are first compared by all their bits, inside the join, so that
+only close pairs ever become rows; three standard deviations are allowed, which one similar pair in
+800 exceeds. Then they are compared by their whole sets.
 
 1. Copies collapse to one set. Documents with an equal block are compared with the smallest of them:
    large groups become connected here, at a few comparisons a member.
 2. All blocks emit their balls, a few blocks at a time. Only variants with visitors of different
-   components are kept, and at these all pairs between different components are compared; a pair that
-   connects nothing new is never formed, one that could is never left out.
+   components are kept. Visitors are compared with the smallest and the largest one there; then all
+   pairs between what are still different components are compared. A pair that connects nothing new
+   is never formed, one that could is never left out.
 3. Components of the verified links; of each, the document with the smallest id stays.
 
 Sets are of 64-bit hashes. Texts of fewer words than a shingle are one shingle. Null and empty texts
@@ -26,12 +28,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import RID, discard, materialize, small_batches, stable_rows, tasks_for
@@ -39,6 +42,7 @@ from .components import connected_components
 
 RECALL = 0.95  # of pairs at the similarity itself; more similar ones meet more surely
 AT_ONCE = 3  # blocks whose balls are shuffled together
+CHECK = 8  # further 64 bits of a fingerprint, in no block
 SPREAD = 8192  # documents whose balls one task emits
 _CHUNK = 4096  # shingles whose bits are counted at once
 
@@ -88,26 +92,25 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *parts])))
 
 
-def _signatures(rows: DataFrame, id_col: str, text_col: str, shingle: int, width: int, blocks: int) -> DataFrame:
-    """RID, id, ``key`` (equal for equal sets), ``n`` (the set's size), ``check`` (64 bits) and ``blocks``."""
+def _signatures(rows: DataFrame, id_col: str, plan: Plan) -> DataFrame:
+    """RID, id, ``key`` (equal for equal sets), ``n`` (the set's size) and ``bits``: the bits in no block, 64 at a time, then the blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width, blocks = plan.width, plan.blocks
         weights = np.left_shift(np.int64(1), np.arange(width, dtype=np.int64))
         for batch in batches:
-            keys, sizes, checks, values = [], [], [], []
+            keys, sizes, values = [], [], []
             for text in batch.column(2).to_pylist():
-                s = shingle_set(text, shingle)
-                bits = fingerprint_bits(s, 64 + width * blocks)
+                s = shingle_set(text, plan.shingle)
+                bits = fingerprint_bits(s, 64 * CHECK + width * blocks)
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sizes.append(len(s))
-                checks.append(int(np.packbits(bits[:64], bitorder="little").view("<i8")[0]))
-                values.append(bits[64:].reshape(blocks, width) @ weights)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(checks, pa.int64()), _lists(values)], [RID, "id", "key", "n", "check", "blocks"]
-            )
+                check = np.packbits(bits[: 64 * CHECK], bitorder="little").view("<i8")
+                values.append(np.concatenate((check, bits[64 * CHECK :].reshape(blocks, width) @ weights)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), _lists(values)], [RID, "id", "key", "n", "bits"])
 
     kind = rows.schema[id_col].dataType.simpleString()
-    return rows.select(RID, F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("binary")).mapInArrow(run, f"{RID} long, id {kind}, key binary, n long, check long, blocks array<long>")
+    return rows.select(RID, F.col(f"`{id_col}`"), F.col(f"`{plan.text_col}`").cast("binary")).mapInArrow(run, f"{RID} long, id {kind}, key binary, n long, bits array<long>")
 
 
 def _sets(rows: DataFrame, text_col: str, shingle: int) -> DataFrame:
@@ -120,19 +123,47 @@ def _sets(rows: DataFrame, text_col: str, shingle: int) -> DataFrame:
     return rows.select(RID, F.col(f"`{text_col}`").cast("binary")).mapInArrow(run, f"{RID} long, set array<long>")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, text_col: str, shingle: int, percent: int) -> DataFrame:
+@dataclass(frozen=True)
+class Plan:
+    width: int
+    blocks: int
+    percent: int
+    shingle: int = 5
+    text_col: str = "text"
+
+    def close(self, a: str, b: str) -> Column:
+        """Whether two columns of bits differ in no more places than sets at the similarity may."""
+        n, p = 64 * CHECK + self.width * self.blocks, bit_difference(self.percent / 100)
+        differ = sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(CHECK + self.blocks)), F.lit(0))
+        return differ <= math.ceil(n * p + 3 * math.sqrt(n * p * (1 - p)))
+
+    def meet_first(self, a: str, b: str, variant: Column) -> Column:
+        """Whether of all variants at which the balls of two columns of bits meet this is the one that counts: in the first such block, the smaller."""
+        pos = F.shiftrightunsigned(variant, self.width).cast("int")
+        far = [(F.lit(k) >= pos) | (F.bit_count(F.get(a, F.lit(CHECK + k)).bitwiseXOR(F.get(b, F.lit(CHECK + k)))) > 2) for k in range(self.blocks)]
+        x, y = F.get(a, pos + CHECK), F.get(b, pos + CHECK)
+        low = x.bitwiseXOR(y).bitwiseAND(-x.bitwiseXOR(y))
+        here = F.least(x.bitwiseXOR(low), y.bitwiseXOR(low)) == variant.bitwiseAND(F.lit((1 << self.width) - 1))
+        return reduce(lambda p, q: p & q, far, here)
+
+
+def _close(pairs: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs (a, b) whose bits are close."""
+    one = pairs.join(nodes.select(F.col("node").alias("a"), F.col("bits").alias("bits_a")).hint("merge"), "a")
+    other = nodes.select(F.col("node").alias("__b"), F.col("bits").alias("bits_b")).hint("merge")
+    return one.join(other, (F.col("b") == F.col("__b")) & plan.close("bits_a", "bits_b")).select("a", "b")
+
+
+def _verified(near: DataFrame, rows: DataFrame, plan: Plan) -> DataFrame:
     """The pairs (a, b) of nodes whose sets are similar enough, written."""
-    p = bit_difference(percent / 100)
-    far = math.ceil(64 * p + 4 * math.sqrt(64 * p * (1 - p)))
-    side = lambda k: nodes.select(F.col("node").alias(k), F.col("check").alias(f"check_{k}"))
-    near = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").filter(F.bit_count(F.col("check_a").bitwiseXOR(F.col("check_b"))) <= far)
-    near = materialize(near.select("a", "b"), "near")
+    near = materialize(near.distinct(), "near")
     ends = near.select(F.explode(F.array("a", "b")).alias(RID)).distinct()
-    sets = materialize(_sets(rows.join(ends, RID, "left_semi"), text_col, shingle), "sets")
-    side = lambda k: sets.select(F.col(RID).alias(k), F.col("set").alias(f"set_{k}"))
-    both = near.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+    sets = materialize(_sets(rows.join(ends, RID, "left_semi"), plan.text_col, plan.shingle), "sets")
+    one = near.join(sets.select(F.col(RID).alias("a"), F.col("set").alias("set_a")).hint("merge"), "a")
+    other = sets.select(F.col(RID).alias("__b"), F.col("set").alias("set_b")).hint("merge")
     overlap = F.size(F.array_intersect("set_a", "set_b"))
-    links = materialize(both.filter(overlap * (100 + percent) >= (F.size("set_a") + F.size("set_b")) * percent).select("a", "b"), "links")
+    similar = overlap * (100 + plan.percent) >= (F.size("set_a") + F.size("set_b")) * plan.percent
+    links = materialize(one.join(other, (F.col("b") == F.col("__b")) & similar).select("a", "b"), "links")
     discard(near, sets)
     return links
 
@@ -142,46 +173,69 @@ def _with_component(df: DataFrame, comp: DataFrame, at: str, name: str) -> DataF
     return named.withColumn(name, F.coalesce(name, at))
 
 
-def _equal_blocks(nodes: DataFrame, width: int) -> DataFrame:
+def _values(nodes: DataFrame, plan: Plan, first: int, many: int, *keep: str) -> DataFrame:
+    """``token`` of each of the blocks first, ..., first + many - 1: its number above its value."""
+    block = F.posexplode(F.slice("bits", CHECK + first + 1, many)).alias("pos", "value")
+    return nodes.select(*keep, block).select(*keep, (F.shiftleft((F.col("pos") + first).cast("long"), plan.width) + F.col("value")).alias("token"))
+
+
+def _equal_blocks(nodes: DataFrame, plan: Plan) -> DataFrame:
     """Pairs of every node with the smallest node of each of its blocks."""
-    visits = nodes.select("node", F.posexplode("blocks").alias("pos", "value")).select("node", (F.shiftleft(F.col("pos").cast("long"), width) + F.col("value")).alias("token"))
+    visits = _values(nodes, plan, 0, plan.blocks, "node")
     hubs = materialize(visits.groupBy("token").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("token", "a"), "hubs")
     return visits.join(hubs, "token").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
-def _met(nodes: DataFrame, width: int, first: int, many: int) -> DataFrame:
-    """Pairs of nodes in different components whose balls meet in one of the blocks first, ..., first + many - 1. nodes: node, blocks, c."""
-    masks = F.array(*(F.lit(m).cast("long") for m in [0, *(1 << k for k in range(width))]))
-    block = F.posexplode(F.slice("blocks", first + 1, many)).alias("pos", "value")
-    values = nodes.select("node", "c", block).select("node", "c", (F.shiftleft(F.col("pos").cast("long"), width) + F.col("value")).alias("token"))
+def _meetings(nodes: DataFrame, plan: Plan, first: int, many: int) -> tuple[DataFrame, DataFrame]:
+    """Where the balls of the blocks first, ..., first + many - 1 meet: pairs (a, b) that are alone at a variant, and all (variant, node) of the others.
+
+    nodes: node, bits, c. Variants whose visitors are all of one component c are left out.
+    """
+    masks = F.array(*(F.lit(m).cast("long") for m in [0, *(1 << k for k in range(plan.width))]))
+    values = _values(nodes, plan, first, many, "node", "c")
     visits = values.select("node", "c", "token", F.explode(masks).alias("mask")).select("node", "c", F.col("token").bitwiseXOR(F.col("mask")).alias("token"))
-    # Nearly all variants have one visitor, or visitors of one component: they end here.
     met = visits.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.min("c").alias("c"), F.max("c").alias("d"), F.count(F.lit(1)).alias("n")).filter("n > 1 and c < d")
     met = materialize(met, "variants")
     # A visitor of a crowded variant is found again from the variant: its ball is the variant's ball.
     crowd = met.filter("n > 2").select("token", F.explode(masks).alias("mask")).select(F.col("token").alias("variant"), F.col("token").bitwiseXOR(F.col("mask")).alias("token"))
-    of = materialize(crowd.join(values, "token").select("variant", "node", "c"), "visits")
-    here = of.select("variant", "c").distinct()
-    here = materialize(here, "meetings")
-    two = here.withColumnRenamed("c", "c1").join(here.withColumnRenamed("c", "c2"), "variant").filter("c1 < c2")
-    one = two.join(of.select("variant", F.col("c").alias("c1"), F.col("node").alias("x")), ["variant", "c1"])
-    both = one.join(of.select("variant", F.col("c").alias("c2"), F.col("node").alias("y")), ["variant", "c2"])
-    pairs = met.filter("n = 2").select("a", "b").unionByName(both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-    pairs = materialize(pairs.distinct(), "pairs")
-    discard(met, of, here)
-    return pairs
-
-
-def similar_components(rows: DataFrame, sigs: DataFrame, nodes: DataFrame, width: int, blocks: int, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """(node, component) of the nodes that links reach."""
-    links = _verified(_equal_blocks(nodes, width), rows, nodes, text_col, shingle, percent)
+    of = materialize(crowd.join(values, "token").select("variant", "node"), "visits")
+    alone = materialize(met.filter("n = 2").select("a", "b").distinct(), "pairs")
+    discard(met)
+    return alone, of
+
+
+def _stars(of: DataFrame, comp: DataFrame, pick) -> DataFrame:
+    """Pairs of visitors and their variant's hub, one of its visitors, in different components."""
+    hubs = materialize(of.groupBy("variant").agg(pick("node").alias("a")), "hubs")
+    pairs = of.join(hubs, "variant").filter("node <> a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    return _with_component(_with_component(pairs, comp, "a", "ca"), comp, "b", "cb").filter("ca <> cb").select("a", "b")
+
+
+def _between(of: DataFrame, nodes: DataFrame, comp: DataFrame, plan: Plan) -> DataFrame:
+    """All close pairs of visitors of one variant that are in different components, each once."""
+    of = materialize(_with_component(of, comp, "node", "c").join(nodes.select("node", "bits").hint("merge"), "node"), "visits")
+    here = materialize(of.groupBy("variant", "c").agg(F.count(F.lit(1)).alias("m")), "meetings")
+    # of two components at a variant the smaller one's members become rows, and find the larger one's in the join
+    two = here.select("variant", F.struct("m", "c").alias("x")).join(here.select("variant", F.struct("m", "c").alias("y")), "variant").filter("x < y")
+    one = two.select("variant", F.col("x.c").alias("c"), F.col("y.c").alias("c2")).join(of, ["variant", "c"]).select(F.col("variant").alias("v"), "c2", F.col("node").alias("x"), F.col("bits").alias("bits_x"))
+    both = one.join(of, (F.col("v") == F.col("variant")) & (F.col("c2") == F.col("c")) & plan.meet_first("bits_x", "bits", F.col("variant")) & plan.close("bits_x", "bits"))
+    return both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+
+
+def similar_components(rows: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
+    """(node, component) of the nodes that links reach. rows: RID and the text; nodes: node (a RID) and bits."""
+    links = _verified(_close(_equal_blocks(nodes, plan), nodes, plan), rows, plan)
+    comp = connected_components(links)
+    now = materialize(_with_component(nodes.select("node", "bits"), comp, "node", "c"), "nodes")
+    spread = now.repartition(tasks_for(now.count(), SPREAD), "node")  # every row becomes hundreds
+    alone, of = zip(*(_meetings(spread, plan, k, min(AT_ONCE, plan.blocks - k)) for k in range(0, plan.blocks, AT_ONCE)), strict=True)
+    visits = reduce(DataFrame.unionByName, of)
+    pairs = reduce(DataFrame.unionByName, alone).unionByName(_stars(visits, comp, F.min)).unionByName(_stars(visits, comp, F.max))
+    links = links.unionByName(_verified(_close(pairs.distinct(), nodes, plan), rows, plan))
     comp = connected_components(links)
-    now = materialize(_with_component(nodes.select("node", "blocks"), comp, "node", "c"), "nodes")
-    now = now.repartition(tasks_for(now.count(), SPREAD), "node")  # every row becomes hundreds
-    pairs = [_met(now, width, k, min(AT_ONCE, blocks - k)) for k in range(0, blocks, AT_ONCE)]
-    more = _verified(reduce(DataFrame.unionByName, pairs).distinct(), rows, nodes, text_col, shingle, percent)
-    discard(*pairs)
-    return connected_components(links.unionByName(more))
+    links = links.unionByName(_verified(_between(visits, nodes, comp, plan), rows, plan))
+    discard(now, *alone, *of)
+    return connected_components(links)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, recall: float = RECALL) -> DataFrame:
@@ -189,10 +243,11 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     small_batches(docs.sparkSession)
     rows = stable_rows(docs)
     width, blocks = layout(rows.count(), percent / 100, recall)
-    sigs = materialize(_signatures(rows, id_col, text_col, shingle, width, blocks), "fingerprints")
+    plan = Plan(width, blocks, percent, shingle, text_col)
+    sigs = materialize(_signatures(rows, id_col, plan), "fingerprints")
     groups = materialize(sigs.groupBy("key").agg(F.min(RID).alias("node")), "groups")
-    nodes = materialize(sigs.filter("n > 0").select(F.col(RID).alias("node"), "check", "blocks").join(groups.select("node"), "node", "left_semi"), "nodes")
-    comp = similar_components(rows, sigs, nodes, width, blocks, text_col, shingle, percent)
+    nodes = materialize(sigs.filter("n > 0").select(F.col(RID).alias("node"), "bits").join(groups.select("node"), "node", "left_semi"), "nodes")
+    comp = similar_components(rows, nodes, plan)
     named = materialize(_with_component(groups, comp, "node", "component").select("key", "component"), "names")
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col(RID).alias("rid"))
     kept = sigs.select(RID, "id", "key").join(named, "key").groupBy("component").agg(F.min(first).alias("first")).select(F.col("first.rid").alias(RID))
