@@ -56,10 +56,55 @@ def counts(text):
             best = max(best, k)
         longest.append(best)
     rep = {p for i, x in enumerate(longest) if x >= 5 for p in range(i, i + 5)}
-    cov = {p for i, x in enumerate(longest) if x >= 5 for p in range(i, i + x)}
+    cov = {p for i, x in enumerate(longest) if x >= 2 for p in range(i, i + x)}
     return n, len(rep), len(cov), max(longest, default=0)
 
 
+def maximal(words, least):
+    """All substrings that occur twice or more and can be extended on neither side, with their number of occurrences."""
+    n, found = len(words), {}
+    for size in range(least, n):
+        places = {}
+        for i in range(n - size + 1):
+            places.setdefault(tuple(words[i : i + size]), []).append(i)
+        for w, at in places.items():
+            if len(at) > 1 and len({words[i - 1] if i else None for i in at}) > 1 and len({words[i + size] if i + size < n else None for i in at}) > 1:
+                found[w] = len(at)
+            elif len(at) > 1 and (at[0] == 0 or at[-1] + size == n):
+                left = {words[i - 1] if i else ("edge", i) for i in at}
+                right = {words[i + size] if i + size < n else ("edge", i) for i in at}
+                if len(left) > 1 and len(right) > 1:
+                    found[w] = len(at)
+    return found
+
+
+def test_intervals_are_all_maximal_repeats():
+    rng = random.Random(6)
+    for _ in range(150):
+        w = [rng.randrange(rng.randint(1, 4)) for _ in range(rng.randint(2, 40))]
+        x, doc, end = np.array(w), np.zeros(len(w), np.int64), np.full(len(w), len(w))
+        order, common = repetition.suffix_array(x, doc, end)
+        assert [tuple(w[i:]) for i in order] == sorted(tuple(w[i:]) for i in range(len(w)))
+        least = rng.randint(1, 3)
+        first, last, size, inner = repetition.maximal_repeats(order, common, np.array([-1, *w[:-1]]), least)
+        got = {tuple(w[order[a] : order[a] + n]): b - a + 1 for a, b, n in zip(first.tolist(), last.tolist(), size.tolist(), strict=True)}
+        assert len(got) == len(first) and got == maximal(w, least)
+        spans = {p for i, n in zip(order[inner > 0].tolist(), inner[inner > 0].tolist(), strict=True) for p in range(i, i + n)}
+        assert spans == {p for m in got for i in range(len(w) - len(m) + 1) if tuple(w[i : i + len(m)]) == m for p in range(i, i + len(m))}
+
+
+def test_the_limits_reject_by_themselves(spark):
+    rng = random.Random(8)
+    phrases = [prose(rng, 2) for _ in range(12)]
+    phrasy = " ".join(p + " " + prose(rng, 3) for p in phrases + phrases[::-1])
+    passage = prose(rng, 60)
+    long_ = " ".join([passage, prose(rng, 400), passage, prose(rng, 300)])
+    d = spark.createDataFrame([(1, phrasy), (2, long_), (3, prose(rng, 300))], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in repetition.quality_rules(d).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert [got[i]["kept"] for i in (1, 2, 3)] == [False, False, True]
+
+
 def test_repetition(spark, corpus, docs, empty):
     short = [r for r in corpus if len(r[1] or "") < 3000]
     got = Counter((r["doc_id"], r["n_words"], r["n_repeat_words"], r["covered_words"], r["longest_repeat"]) for r in repetition.quality_rules(docs).filter("n_words < 2000").collect())
@@ -202,10 +247,56 @@ def test_mix(corpus, docs, empty):
         assert [s[2] for s in slots if s[1] == sid] == list(range(sum(s[1] == sid for s in slots)))
     out = mixing.mixed_documents(docs, block=16)
     assert out.columns == docs.columns
-    assert sum(len((r["text"] or "").encode().split()) for r in out.collect()) == sum(r["taken"] for r in got)
+    assert {r["slot"] for r in m.pieces.collect()} == {s[0] for s in slots}
+    check_mixed(m, docs, [r.asDict() for r in out.withColumn("at", F.monotonically_increasing_id()).orderBy("at").collect()])
     assert mixing.taken(mixing.mix(empty)).count() == mixing.mixed_documents(empty).count() == 0
 
 
+def check_mixed(m, docs, rows):
+    """Whole documents at their first slots, and every source near its share in every prefix of the mix."""
+    where = {(r["epoch"], r["a"], r["sid"]): r for r in sorted(m.pieces.collect(), key=lambda r: -r["slot"])}
+    size = {(r["sid"], r["begin"]): r["size"] for r in m.documents.collect() if r["size"]}
+    source = {r["sid"]: r for r in m.sources.collect()}
+    want = []
+    for (epoch, a, sid), r in where.items():
+        n = size[sid, a - epoch * source[sid]["source_size"]]
+        if 2 * min(n, source[sid]["words"] - a) >= n:
+            want.append((r["slot"], a, source[sid]["source"], n))
+    assert [(r["source"], len(r["text"].encode().split())) for r in rows] == [(s, n) for _, _, s, n in sorted(want, key=lambda w: w[:2])]
+    slots = sorted((r["slot"], r["sid"]) for r in m.schedule.collect())
+    seen, space = Counter(), 1 << len(slots).bit_length()
+    for i, (slot, sid) in enumerate(slots):
+        seen[sid] += 1
+        assert abs(seen[sid] - (slot + 1) * source[sid]["slots"] / space) < 1.5 + np.log2(space)
+
+
+def test_the_schedule_decides(spark, corpus, docs, monkeypatch):
+    plain = mixing._schedule
+    before = {r["doc_id"]: r for r in mixing.taken(mixing.mix(docs, block=16)).collect()}
+    monkeypatch.setattr(mixing, "_schedule", lambda *a: plain(*a).withColumn("slot", F.lit(7).cast("long")))
+    after = {r["doc_id"]: r for r in mixing.taken(mixing.mix(docs, block=16)).collect()}
+    assert all(r["first_slot"] == 7 for r in after.values() if r["taken"]) and before != after
+
+
+def test_rows_that_repeat_are_spread(spark, monkeypatch):
+    rows = [(None, "same words here", "s")] * 500 + [(i, f"w{i} x", "s") for i in range(100)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    before = sorted(map(tuple, mixing.taken(mixing.mix(d, block=4)).collect()), key=str)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 40)
+    monkeypatch.setattr(mixing, "HOT_KEYS", 100)
+    base = d.select(F.monotonically_increasing_id().alias(mixing.RID), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("key"))
+    sizes = mixing._buckets(base, 600).groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("a"), F.max("key").alias("z")).orderBy("bucket").collect()
+    assert max(r["n"] for r in sizes) < 100 and all(x["z"] <= y["a"] for x, y in zip(sizes, sizes[1:], strict=False))
+    assert sorted(map(tuple, mixing.taken(mixing.mix(d, block=4)).collect()), key=str) == before
+
+
+def test_the_mix_keeps_columns_with_clashing_names(spark):
+    names = ["__n", "__size", "__epoch", "part", "slot", "a", "doc"]
+    d = spark.createDataFrame([(i, f"some words {i} " * 9, f"s{i % 3}") for i in range(30)], "doc_id long, text string, source string").withColumns({n: F.lit(1) for n in names})
+    out = mixing.mixed_documents(d, block=4)
+    assert out.columns == d.columns and 30 <= out.count() <= 60
+
+
 # --- repeated bytes ---
 
 
@@ -287,11 +378,33 @@ def test_store_round_trip(spark, corpus, docs, empty):
         at += r["n_tokens"]
     keys = [r["doc_id"] for r in rows]
     assert keys == sorted(keys, key=lambda k: (k is None, k or 0))
+    assert max(Counter(r["shard"] for r in rows).values()) < len(rows)
     strange = spark.createDataFrame([(10**9 + i, 0) for i in range(500)] + [(3, 0), (3, 7)], "key long, occurrence long")
     assert [r["key"] for r in token_files.lookup(store, strange).collect()] == [3]
     assert token_files.documents_of(token_files.write_store(empty)).count() == 0
 
 
+def test_store_splits_hot_ids_and_keeps_the_order_of_rows(spark, tmp_path):
+    texts = [(None, f"text number {i % 7} of many") for i in range(300)] + [(5, "the very same text") for _ in range(300)]
+    d = spark.createDataFrame(texts, "doc_id long, text string")
+    store = token_files.write_store(d, shard_bytes=4000)
+    rows = token_files.documents_of(store).collect()
+    by = Counter(r["shard"] for r in rows)
+    assert len(by) >= 10 and max(by.values()) < 120
+    assert Counter((r["doc_id"], r["occurrence"]) for r in rows) == Counter([(None, i) for i in range(300)] + [(5, i) for i in range(300)])
+    mixed = [(i * 37 % 101, f"w{i} " * (i % 5 + 1)) for i in range(200)]
+    spark.createDataFrame(mixed, "doc_id long, text string").repartition(3).write.parquet(f"file://{tmp_path}/t")
+    t = spark.read.parquet(f"file://{tmp_path}/t")
+    order = []
+    for f in sorted(t.inputFiles()):
+        order += [(r["doc_id"], len(plain_ids(r["text"])) + 1) for r in spark.read.parquet(f).coalesce(1).collect()]
+    for source in (t, t.orderBy("text", "doc_id")):
+        got = sorted(token_files.documents_of(token_files.write_store(source, shard_bytes=3000, order="rows")).collect(), key=lambda r: r["start"])
+        want = order if source is t else [(r["doc_id"], len(plain_ids(r["text"])) + 1) for r in source.collect()]
+        assert [(r["doc_id"], r["n_tokens"]) for r in got] == want
+        assert [r["start"] for r in got] == np.cumsum([0, *(n for _, n in want)])[:-1].tolist()
+
+
 def test_perfect_hash():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 1000):
@@ -329,6 +442,22 @@ def test_document_counts(corpus, docs, empty):
     assert token_counts.document_counts(empty).count() == 0
 
 
+def test_counts_do_not_follow_the_cores(spark, corpus, docs, tmp_path):
+    docs.repartition(5).write.parquet(f"file://{tmp_path}/d")
+    d = spark.read.parquet(f"file://{tmp_path}/d")
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "1")
+    try:
+        lazy = [token_counts.document_counts(d), mixing.taken(mixing.mix(d, block=16)), mixing.mixed_documents(d), repeated_bytes.remove_repeats(d)]
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "8")
+        few = [x.collect() for x in lazy]
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in few[0]) == Counter((r[0], len(plain_ids(r[1], True)) + 1) for r in corpus)
+    assert sorted(map(tuple, few[1]), key=str) == sorted(map(tuple, mixing.taken(mixing.mix(docs, block=16)).collect()), key=str)
+    assert Counter(r["doc_id"] for r in few[2]) == Counter(r["doc_id"] for r in mixing.mixed_documents(docs).collect())
+    assert Counter((r["doc_id"], r["n_removed"]) for r in few[3]) == Counter((r["doc_id"], r["n_removed"]) for r in repeated_bytes.remove_repeats(docs).collect())
+
+
 # --- URL filters ---
 
 RULES = (urls.Rule("org", "/", True), urls.Rule("example.org", "/es/", False), urls.Rule("com", "/de/", False))

@@ -53,7 +53,7 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 
 def tasks_for(n: int, each: int) -> int:
     """How many tasks share n units: about ``each`` to a task, more where that would be too many tasks."""
-    return int(min(n // each + 1, MOST_TASKS))
+    return int(max(1, min(n // each + 1, MOST_TASKS)))
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:

@@ -86,16 +86,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_mix_to_target_weights": r"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5('mix:' || doc_id) AS key FROM documents),
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
 s AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM d GROUP BY source),
 w AS (SELECT *, 2.0::DOUBLE * source_size AS cap, (CASE (sid - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END)::DOUBLE AS weight FROM s),
 f AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY cap / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
 l AS (SELECT arg_min(level, (cap / weight, sid)) AS level FROM f WHERE level <= cap / weight),
-t AS (SELECT source, source_size, CASE WHEN l.level IS NULL OR l.level * weight >= cap THEN cap ELSE l.level * weight END AS target FROM f, l),
-p AS (SELECT doc_id, size, source_size, target, round(target)::BIGINT AS words, sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS stop FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target, (greatest(0, least(stop, words) - (stop - size)) + greatest(0, least(stop + source_size, words) - (stop + source_size - size)))::BIGINT AS taken FROM p
+t AS (SELECT sid, source, source_size, CASE WHEN l.level IS NULL OR l.level * weight >= cap THEN cap ELSE l.level * weight END AS target FROM f, l),
+n AS (SELECT floor(sum(target) + 0.25)::BIGINT AS wanted FROM t),
+b AS (SELECT wanted, greatest(4, length(bin(greatest(1, wanted // 256))))::INT AS bits FROM n),
+k AS (SELECT greatest(1, ceil(wanted / (1::BIGINT << bits)))::BIGINT AS block FROM b),
+u AS (SELECT t.*, round(target)::BIGINT AS words, ceil(round(target)::BIGINT / block)::BIGINT AS slots, block FROM t, k),
+v AS (SELECT *, sum(slots) OVER (ORDER BY sid)::BIGINT AS high, greatest(1, length(bin(sum(slots) OVER ()::BIGINT)))::INT AS bits FROM u),
+x AS (SELECT sid, bits, unnest(range(high - slots, high)) AS point FROM v),
+y AS (SELECT sid, list_sum([((point >> j) & 1) << (bits - 1 - j) for j in range(bits)])::BIGINT AS slot FROM x),
+z AS (SELECT sid, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank FROM y),
+p AS (SELECT row_number() OVER () AS rid, doc_id, size, v.sid, source_size, target, words, block, sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS stop FROM d JOIN v ON d.source IS NOT DISTINCT FROM v.source),
+e AS (SELECT rid, sid, block, stop - size + i * source_size AS a, least(stop + i * source_size, words) AS z FROM p, range(2) r(i) WHERE size > 0),
+c AS (SELECT rid, sid, block, a, z, unnest(range((a // block)::BIGINT, ((z - 1) // block)::BIGINT + 1)) AS rank FROM e WHERE a < z),
+m AS (SELECT rid, min(slot) AS first_slot, count(*) AS n_slots, sum(least(z, (c.rank + 1) * block) - greatest(a, c.rank * block)) AS taken FROM c JOIN z ON z.sid = c.sid AND z.rank = c.rank GROUP BY rid)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_slot, coalesce(n_slots, 0)::BIGINT AS n_slots FROM p LEFT JOIN m ON m.rid = p.rid
 """,
-    # Windows of five words repeat where repeats of five words and more do, so the covered words are the repeated ones.
+    # A word is in a maximal repeat of two words or more where a pair of words that it is in repeats.
     "op3_quality_rules": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
@@ -105,11 +116,11 @@ e AS (SELECT doc_id, i, g1, g1 || ' ' || b1 AS g2, g1 || ' ' || b1 || ' ' || b2
 k AS (SELECT doc_id, i, 1 AS k, g1 AS g FROM e UNION ALL SELECT doc_id, i, 2, g2 FROM e WHERE g2 IS NOT NULL UNION ALL SELECT doc_id, i, 3, g3 FROM e WHERE g3 IS NOT NULL UNION ALL SELECT doc_id, i, 4, g4 FROM e WHERE g4 IS NOT NULL UNION ALL SELECT doc_id, i, 5, g5 FROM e WHERE g5 IS NOT NULL),
 r AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k, g) AS n FROM k) WHERE n > 1),
 s AS (SELECT doc_id, max(k) AS k FROM r GROUP BY doc_id),
-c AS (SELECT doc_id, sum(least(5, coalesce(next - i, 5))) AS covered FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM r WHERE k = 5) GROUP BY doc_id),
+c AS (SELECT doc_id, coalesce(sum(least(5, coalesce(next - i, 5))) FILTER (WHERE k = 5), 0) AS repeated, coalesce(sum(least(2, coalesce(next - i, 2))) FILTER (WHERE k = 2), 0) AS covered FROM (SELECT doc_id, k, i, lead(i) OVER (PARTITION BY doc_id, k ORDER BY i) AS next FROM r WHERE k IN (2, 5)) GROUP BY doc_id),
 q AS (SELECT a.doc_id, b.i - a.i AS gap, a.i - row_number() OVER (PARTITION BY a.doc_id, b.i - a.i ORDER BY a.i) AS run FROM r a JOIN r b ON a.doc_id = b.doc_id AND a.g = b.g AND a.i < b.i WHERE a.k = 5 AND b.k = 5),
 m AS (SELECT doc_id, max(n) + 4 AS longest FROM (SELECT doc_id, count(*) AS n FROM q GROUP BY doc_id, gap, run) GROUP BY doc_id),
-f AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered, 0)::BIGINT AS n_repeat_words, coalesce(longest, s.k, 0)::BIGINT AS longest_repeat FROM d JOIN l ON d.doc_id = l.doc_id LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id)
-SELECT *, n_repeat_words AS covered_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR longest_repeat > 100) AS kept FROM f
+f AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(repeated, 0)::BIGINT AS n_repeat_words, coalesce(covered, 0)::BIGINT AS covered_words, coalesce(longest, s.k, 0)::BIGINT AS longest_repeat FROM d JOIN l ON d.doc_id = l.doc_id LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id)
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR covered_words > 0.2::DOUBLE * n_words OR longest_repeat > 50) AS kept FROM f
 """,
     "op5_suffix_array_dedup": r"""
 WITH h AS (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),

@@ -18,19 +18,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import RID, materialize, scratch_path, small_batches, stable_rows
+from .common import file_system, materialize, scratch_path, small_batches, tasks_for
 from .encoding import Encoder, shared_encoder, vocabulary_path
 
 BLOCK_BYTES = 8 << 20
-PARTITION_BITS = 33  # of a row id, below the number of its partition
 
 
 def list_files(root: str, suffix: str = ".ids") -> list[tuple[str, int]]:
-    fs, base = pafs.FileSystem.from_uri(root)
+    fs, base = file_system(root)
     found = fs.get_file_info(pafs.FileSelector(base, allow_not_found=True))
     return sorted((f.base_name, f.size) for f in found if f.is_file and f.base_name.endswith(suffix))
 
@@ -45,10 +45,10 @@ def count_tokens(spark: SparkSession, root: str, end_id: int, dtype: str = "<u2"
     block_ids = max(1, block_bytes // width)
     table = spark.createDataFrame([(name, size // width) for name, size in files if size], "file string, ids long")
     blocks = table.select("file", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("ids") - 1) / F.lit(block_ids)))).alias("block"))
-    blocks = blocks.repartition(max(1, sum(-(-size // block_bytes) for _, size in files)), "file", "block")
+    blocks = blocks.repartition(tasks_for(sum(-(-size // block_bytes) for _, size in files) - 1, 1), "file", "block")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = pafs.FileSystem.from_uri(root)
+        fs, base = file_system(root)
         for batch in batches:
             for name, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 begin = block * block_ids
@@ -71,50 +71,53 @@ def count_tokens(spark: SparkSession, root: str, end_id: int, dtype: str = "<u2"
     return whole.unionByName(rest)
 
 
-def write_flat(rows: DataFrame, root: str, tokenizer: str, end_id: int, text_col: str = "text") -> str:
-    """Encode rows that carry RID into flat files, one for each partition, in the order of rows. Returns the type of an id."""
-    small_batches(rows.sparkSession)
+def write_flat(docs: DataFrame, root: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """Encode documents into flat files, one for each task. Returns (id, file, ordinal) of every document as written, and the type of an id.
+
+    Where a document went is told by the task that wrote it, so nothing depends on how rows are split
+    among tasks another time.
+    """
+    small_batches(docs.sparkSession)
+    kind = docs.schema[id_col].dataType.simpleString()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared_encoder(tokenizer, True)
-        fs, base = pafs.FileSystem.from_uri(root)
+        fs, base = file_system(root)
         fs.create_dir(base, recursive=True)
-        out, name, part, n = None, "", "", 0
+        name = f"part-{TaskContext.get().partitionId():06d}.ids"
+        part = f"{base}/.{name}-{uuid.uuid4().hex}"
+        out, n = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if out is None:
-                name = f"part-{batch.column(0)[0].as_py() >> PARTITION_BITS:06d}.ids"
-                part = f"{base}/.{name}-{uuid.uuid4().hex}"
-                out = fs.open_output_stream(part)
+            out = out or fs.open_output_stream(part)
             for ids in encoder.encode(batch.column(1).to_pylist(), end_id):
                 out.write(ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([name] * batch.num_rows), pa.array(np.arange(n, n + batch.num_rows))], ["id", "file", "ordinal"])
             n += batch.num_rows
         if out is not None:
             out.close()
             fs.move(part, f"{base}/{name}")
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], ["file", "n"])
 
-    rows.select(RID, F.col(f"`{text_col}`").cast("binary")).mapInArrow(write, "file string, n long").agg(F.sum("n")).collect()
-    return Encoder(tokenizer).dtype.str
+    places = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary")).mapInArrow(write, f"id {kind}, file string, ordinal long")
+    return materialize(places, "places"), Encoder(tokenizer).dtype.str
 
 
 def document_counts(docs: DataFrame, tokenizer: str | None = None, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Write ``docs`` to flat files, scan the files and give each id its count: id, n_tokens, file, ordinal.
 
-    Files hold the rows of a partition in their order, so that nothing is shuffled to write them and a
-    row's file and ordinal are its row id. The end id is the vocabulary's <|endoftext|> unless another
+    Nothing is shuffled to write the files. The end id is the vocabulary's <|endoftext|> unless another
     is given; texts never hold it, as special tokens in them are encoded as ordinary text. Null and
-    empty texts are one id long.
+    empty texts are one id long. A scan that finds more or fewer documents than were written is an
+    error.
     """
     spark = docs.sparkSession
     path = tokenizer or vocabulary_path()
     if end_id is None:
         end_id = Tokenizer.from_file(path).token_to_id("<|endoftext|>")
     root = scratch_path(spark, "flat")
-    rows = stable_rows(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")))
-    dtype = write_flat(rows, root, path, end_id)
+    places, dtype = write_flat(docs, root, path, end_id, id_col, text_col)
     counts = materialize(count_tokens(spark, root, end_id, dtype, block_bytes), "counts")
-    number = F.regexp_extract("file", r"(\d+)", 1).cast("long")
-    counts = counts.withColumn(RID, F.shiftleft(number, PARTITION_BITS) + F.col("ordinal"))
-    return rows.select(RID, "id").join(counts, RID).select(F.col("id").alias(id_col), "n_tokens", "file", "ordinal")
+    if (found := counts.count()) != (written := places.count()):
+        raise RuntimeError(f"the files of {root} hold {found} documents, {written} were written")
+    return places.join(counts, ["file", "ordinal"]).select(F.col("id").alias(id_col), "n_tokens", "file", "ordinal")

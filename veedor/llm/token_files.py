@@ -3,14 +3,15 @@
 Layout of a store (all under the shared folder):
 
 * ``shard-NNNNNN.ids``: the ids of whole documents, each with its end id, as little-endian unsigned
-  integers (two bytes where the vocabulary allows). Shards hold ascending ranges of document ids;
-  within a shard, documents ascend too. Null ids come last.
+  integers (two bytes where the vocabulary allows). Documents go by their ids, null ones last, or in
+  the order of the rows; shards are cut where their texts reach a number of bytes, between rows that
+  repeat an id too, so neither long texts nor a hot id make one shard larger.
 * ``index-NNNNNN.mph``: for the keys of one hash bucket, the cascade of collision-free bit arrays
   (a key's slot is the number of set bits before the first level where its bit is set), then per
   slot a 32-bit fingerprint of the key, its shard, offset and length.
 
-A key is (document id, occurrence): rows that repeat an id are stored one after another and counted
-from 0. A lookup reads one bit array after another, one slot, and compares the fingerprint; it costs
+A key is (document id, occurrence): rows that repeat an id are counted from 0 in the order in which
+they are stored (by id: by a hash of the text). A lookup reads one bit array after another, one slot, and compares the fingerprint; it costs
 the same for any number of documents. Files are written under a temporary name and then renamed, so
 a repeated task replaces a file by the same file.
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,20 +32,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch_path, small_batches
+from .common import MOST_TASKS, discard, file_system, materialize, scratch_path, small_batches, tasks_for
 from .encoding import Encoder, shared_encoder, vocabulary_path
 
-SHARD_BYTES = 128 << 20  # of text
+SHARD_BYTES = 128 << 20  # of text; more where there would be more than MOST_TASKS shards
+SORTED_ROWS = 500_000  # rows that one task sorts to find where shards begin
 BUCKET_KEYS = 1 << 17
 GAMMA = 2.0  # bits per key of a level
 
 
 def _put(root: str, name: str, write) -> None:
     """Create root/name through a temporary file. write gets an output stream."""
-    fs, base = pafs.FileSystem.from_uri(root)
+    fs, base = file_system(root)
     fs.create_dir(base, recursive=True)
     part = f"{base}/.{name}-{uuid.uuid4().hex}"
     with fs.open_output_stream(part) as out:
@@ -147,30 +150,54 @@ class TokenStore:
     entries: DataFrame  # id, occurrence, shard, offset, length: what the index was made of
 
 
-def _cuts(docs: DataFrame, id_col: str, shard_bytes: int) -> list[int]:
-    """Upper ends of the id ranges of all shards but the last; their number follows the input."""
-    size = F.sum(F.octet_length("text").cast("long") + 64)
-    total, n = docs.agg(size, F.count(F.lit(1))).first()
-    shards = max(1, -(-(total or 0) // shard_bytes), min(docs.sparkSession.sparkContext.defaultParallelism, n // 1000))
+_ORDER = ["none", "rank", "tie", "q"]
+
+
+def _ordered(docs: DataFrame, id_col: str, text_col: str, order: str) -> DataFrame:
+    """key, text and the order of documents: ``none`` and ``rank``, ``tie``, and ``q`` to split rows that are equal in all."""
+    key, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    if order == "id":
+        docs = docs.select(key.alias("key"), text.alias("text"))
+        none, rank = F.col("key").isNull(), F.coalesce("key", F.lit(0))
+    else:
+        scan = docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+        if not scan or not all("/part-" in f for f in docs.inputFiles()):  # rows get their places by being written
+            docs = materialize(docs.select(key.alias(id_col), text.alias(text_col)), "rows")
+        file, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+        docs = docs.select(key.alias("key"), text.alias("text"), (F.shiftleft(F.regexp_extract(file, r"part-(\d+)", 1).cast("long"), 40) + row).alias("rank"))
+        none, rank = F.lit(False), F.col("rank")
+    return docs.select("key", "text", none.alias("none"), rank.alias("rank"), F.xxhash64("text").alias("tie"), F.rand(7).alias("q"))
+
+
+def _cuts(docs: DataFrame, shard_bytes: int) -> list[tuple]:
+    """Where all shards but the first begin, in terms of the order; their number follows the bytes of the texts."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 64
+    light = docs.select(*_ORDER, size.alias("size"))
+    total, n = light.agg(F.sum("size"), F.count(F.lit(1))).first()
+    total = total or 0
+    shards = min(MOST_TASKS, max(1, -(-total // shard_bytes), min(docs.sparkSession.sparkContext.defaultParallelism, n // 1000)))
     if shards == 1:
         return []
-    found = docs.agg(F.percentile_approx(id_col, [i / shards for i in range(1, shards)], 10 * shards + 1000)).first()[0] or []
-    return sorted(set(found))
-
-
-def shard_of(id_: Column, cuts: list[int]) -> Column:
-    """The shard of an id; the last one for null."""
-    cut = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
-    return F.when(id_.isNull(), len(cuts)).otherwise(F.size(F.filter(cut, lambda c: c < id_)))
-
-
-def write_payload(docs: DataFrame, root: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, plain_specials: bool = False) -> tuple[DataFrame, list[int], str]:
-    """Write the shards. Returns (id, occurrence, shard, offset, length) of every document, the cuts between shards and the type of an id."""
+    light = materialize(light.repartitionByRange(tasks_for(n, SORTED_ROWS), *_ORDER).withColumn("range", F.spark_partition_id()), "sizes")
+    totals = sorted(light.groupBy("range").agg(F.sum("size").alias("n")).collect())  # no more rows than tasks
+    ahead, upto = {}, 0
+    for k, m in totals:
+        ahead[k], upto = upto, upto + m
+    base = F.element_at(F.create_map(*(F.lit(x).cast("long") for kv in ahead.items() for x in kv)), F.col("range").cast("long"))
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("range").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shard = F.floor((base + before) / F.lit(total / shards))
+    first = light.withColumn("shard", shard).groupBy("shard").agg(F.min(F.struct(*_ORDER)).alias("at")).collect()  # no more rows than shards
+    discard(light)
+    return sorted(tuple(r["at"]) for r in first)[1:]
+
+
+def write_payload(docs: DataFrame, root: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, plain_specials: bool = False, order: str = "id") -> tuple[DataFrame, int, str]:
+    """Write the shards. Returns (key, occurrence, shard, offset, length) of every document, the number of shards and the type of an id."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("key"), F.col(f"`{text_col}`").alias("text"))
-    cuts = _cuts(docs, "key", shard_bytes)
-    edges = np.array(cuts, np.int64)
+    docs = _ordered(docs, id_col, text_col, order)
+    cuts = _cuts(docs, shard_bytes)
+    n_shards = len(cuts) + 1
     dtype = Encoder(tokenizer).dtype
     width = dtype.itemsize
 
@@ -178,17 +205,15 @@ def write_payload(docs: DataFrame, root: str, tokenizer: str, end_id: int, id_co
         encoder = shared_encoder(tokenizer, plain_specials)
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            ids = batch.column(0)
-            at = np.searchsorted(edges, np.asarray(ids.fill_null(0)), "left") if len(edges) else np.zeros(len(ids), np.int64)
-            at = np.where(np.asarray(ids.is_null()), len(edges), at)
-            z = [press.compress(x) for x in encoder.encode(batch.column(1).to_pylist(), end_id)]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), ids, pa.array(z, pa.binary())], ["shard", "key", "z"])
+            at = [bisect_right(cuts, x) for x in zip(*(batch.column(c).to_pylist() for c in _ORDER), strict=True)] if cuts else np.zeros(len(batch), np.int64)
+            z = [press.compress(x) for x in encoder.encode(batch.column("text").to_pylist(), end_id)]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *(batch.column(c) for c in ("none", "rank", "tie", "key")), pa.array(z, pa.binary())], ["shard", "none", "rank", "tie", "key", "z"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
-        fs, base = pafs.FileSystem.from_uri(root)
+        fs, base = file_system(root)
         fs.create_dir(base, recursive=True)
-        shard, out, part, offset, last, occurrence = None, None, "", 0, object(), 0
+        shard, out, part, offset = None, None, "", 0
 
         def close():
             if out is not None:
@@ -196,27 +221,32 @@ def write_payload(docs: DataFrame, root: str, tokenizer: str, end_id: int, id_co
                 fs.move(part, f"{base}/shard-{shard:06d}.ids")
 
         for batch in batches:
-            rows = []
-            for s, key, z in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            offsets, lengths = [], []
+            for s, z in zip(batch.column("shard").to_pylist(), batch.column("z").to_pylist(), strict=True):
                 if s != shard:
                     close()
-                    shard, offset, last, occurrence, part = s, 0, object(), 0, f"{base}/.shard-{s:06d}-{uuid.uuid4().hex}"
+                    shard, offset, part = s, 0, f"{base}/.shard-{s:06d}-{uuid.uuid4().hex}"
                     out = fs.open_output_stream(part)
-                occurrence = occurrence + 1 if key == last else 0
-                last = key
                 data = unpress.decompress(z)
                 out.write(data)
-                rows.append((key, occurrence, s, offset, len(data) // width))
-                offset += len(data) // width
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["key", "occurrence", "shard", "offset", "length"]
-            ) if rows else pa.RecordBatch.from_pylist([], pa.schema([("key", pa.int64()), ("occurrence", pa.int64()), ("shard", pa.int32()), ("offset", pa.int64()), ("length", pa.int64())]))
+                offsets.append(offset)
+                lengths.append(len(data) // width)
+                offset += lengths[-1]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("shard"), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], ["key", "shard", "offset", "length"])
         close()
 
-    coded = docs.select("key", F.col("text").cast("binary")).mapInArrow(encode, "shard int, key long, z binary")
-    dealt = coded.repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_last(), "z")
-    entries = dealt.mapInArrow(write, "key long, occurrence long, shard int, offset long, length long")
-    return materialize(entries, "entries"), cuts, dtype.str
+    coded = docs.select("key", F.col("text").cast("binary").alias("text"), *_ORDER).mapInArrow(encode, "shard int, none boolean, rank long, tie long, key long, z binary")
+    dealt = coded.repartitionById(n_shards, "shard").sortWithinPartitions("shard", "none", "rank", "tie", "z")
+    entries = materialize(dealt.mapInArrow(write, "key long, shard int, offset long, length long"), "written")
+    # occurrences in two levels, within a shard and then over the shards of a key, so that a hot key is counted in many tasks
+    here = entries.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("n"))
+    ahead = F.coalesce(F.sum("n").over(Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    several = materialize(here.withColumn("ahead", ahead).filter("n > 1 or ahead > 0").select("key", F.col("shard"), "ahead"), "repeats")
+    same = entries["key"].eqNullSafe(several["key"]) & (entries["shard"] == several["shard"])
+    known = entries.join(several, same, "left").select(entries["key"], entries["shard"], "offset", "length", "ahead")
+    rank = F.row_number().over(Window.partitionBy("key", "shard").orderBy("offset")) - 1
+    counted = known.filter("ahead is not null").withColumn("occurrence", F.col("ahead") + rank).unionByName(known.filter("ahead is null").withColumn("occurrence", F.lit(0).cast("long")))
+    return materialize(counted.select("key", "occurrence", "shard", "offset", "length"), "entries"), n_shards, dtype.str
 
 
 def _hashed(keys: DataFrame, n_buckets: int) -> DataFrame:
@@ -224,11 +254,11 @@ def _hashed(keys: DataFrame, n_buckets: int) -> DataFrame:
     return keys.select("*", a.alias("a"), b.alias("b"), F.pmod(a.bitwiseXOR(b), F.lit(n_buckets)).cast("int").alias("bucket"))
 
 
-def write_store(docs: DataFrame, root: str | None = None, tokenizer: str | None = None, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> TokenStore:
-    """Encode, write and index every document."""
+def write_store(docs: DataFrame, root: str | None = None, tokenizer: str | None = None, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, order: str = "id") -> TokenStore:
+    """Encode, write and index every document, ordered by id or, with order="rows", as the rows are: by the number of their file, then their place in it."""
     spark = docs.sparkSession
     root = root or scratch_path(spark, "tokens")
-    entries, cuts, dtype = write_payload(docs, root, tokenizer or vocabulary_path(), end_id, id_col, text_col, shard_bytes)
+    entries, n_shards, dtype = write_payload(docs, root, tokenizer or vocabulary_path(), end_id, id_col, text_col, shard_bytes, order=order)
     n_buckets = max(1, -(-entries.count() // BUCKET_KEYS))
 
     def index(table: pa.Table) -> pa.Table:
@@ -240,9 +270,9 @@ def write_store(docs: DataFrame, root: str | None = None, tokenizer: str | None
 
     done = _hashed(entries, n_buckets).groupBy("bucket").applyInArrow(index, "bucket int, n long, bytes long")
     keys = done.agg(F.sum("n")).first()[0] or 0
-    about = {"dtype": dtype, "end_id": end_id, "shards": len(cuts) + 1, "buckets": n_buckets, "documents": keys}
+    about = {"dtype": dtype, "end_id": end_id, "shards": n_shards, "buckets": n_buckets, "documents": keys}
     _put(root, "store.json", lambda out: out.write(json.dumps(about).encode()))
-    return TokenStore(spark, root, dtype, len(cuts) + 1, n_buckets, id_col, entries)
+    return TokenStore(spark, root, dtype, n_shards, n_buckets, id_col, entries)
 
 
 def lookup(store: TokenStore, keys: DataFrame) -> DataFrame:
@@ -250,7 +280,7 @@ def lookup(store: TokenStore, keys: DataFrame) -> DataFrame:
     root = store.root
 
     def find(table: pa.Table) -> pa.Table:
-        fs, base = pafs.FileSystem.from_uri(root)
+        fs, base = file_system(root)
         name = f"{base}/index-{table['bucket'][0].as_py():06d}.mph"
         if fs.get_file_info(name).type == pafs.FileType.NotFound:
             table = table.slice(0, 0)
@@ -274,7 +304,7 @@ def read_back(store: TokenStore, found: DataFrame) -> DataFrame:
     root, dtype = store.root, np.dtype(store.dtype)
 
     def read(table: pa.Table) -> pa.Table:
-        fs, base = pafs.FileSystem.from_uri(root)
+        fs, base = file_system(root)
         table = table.sort_by("offset")
         crc = []
         with fs.open_input_file(f"{base}/shard-{table['shard'][0].as_py():06d}.ids") as f:
