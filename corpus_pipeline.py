@@ -34,8 +34,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the token files hold: a row for each document of the mix, looked up and read back."""
-    store = token_files.write_store(docs, tokenizer=token_files.vocabulary_path(), end_id=1)
+    """What the token files hold, in the order of the mix: a row for each of its documents, looked up and read back."""
+    store = token_files.write_store(docs, tokenizer=token_files.vocabulary_path(), end_id=1, order="rows")
     return token_files.documents_of(store).select("doc_id", "occurrence", "start", "n_tokens", "ids_crc32")
 
 
