@@ -8,11 +8,17 @@ band of a document goes on to alignment if it shares a rare n-gram with an item,
 has become common by being copied is still found. The words around the band are aligned locally with
 the item (match 2, mismatch and gap -1); the similarity is the score over the best one possible.
 
-Words are runs of anything but white space and ASCII punctuation, in lower case. Items with fewer
-than ``n`` words have no seed and match nothing; null and empty texts match nothing. Items with null
-ids are aligned like others. Repeated rows and repeated items are judged on their own; of equal
-alignments the first in the document counts. Other columns are ignored by ``leaks`` and kept by
-``drop_leaks``. An empty table on either side gives no leaks.
+An alignment stays within a band of diagonals around its seeds: half the item's words to either side,
+``max_slack`` words at most, so the cost of a long item grows with its length and not with its square.
+Seeds are grouped by document, item and band a bounded number at a time, and alignments are batched by
+their cells, so memory is bounded by the block whatever the texts and items hold.
+
+Words are runs of anything but white space and ASCII punctuation, in lower case. An item with fewer
+than ``n`` words is its own seed: it matches where all of it occurs, if it is rare. Items without a
+word, null and empty texts match nothing. Items with null ids are aligned like others. Repeated rows
+and repeated items are judged on their own; of equal alignments the first in the document counts.
+Other columns are ignored by ``leaks`` and kept by ``drop_leaks``. An empty table on either side gives
+no leaks. Ids can be of any type that Arrow has.
 """
 
 from __future__ import annotations
@@ -24,11 +30,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import small_batches
 
 _BLANK = bytes(32 if i < 128 and not chr(i).isalnum() else i for i in range(256))
-_PAIRS = 256  # alignments at once
+_CELLS = 1 << 20  # of a step of alignments, all together
+_SEEDS = 1 << 20  # places of seeds in items, grouped at once
 
 
 @dataclass(frozen=True)
@@ -36,6 +44,7 @@ class LeakRules:
     n: int = 3
     rare_share: float = 0.001
     min_similarity: float = 0.5
+    max_slack: int = 512
     block_bytes: int = 16 << 20
 
 
@@ -55,29 +64,33 @@ class Block:
         self.ids, self.n = ids, n
         self.numbers = _Numbers()
         self.items = [np.array([self.numbers.setdefault(w, len(self.numbers)) for w in words_of(t)], np.int64) for t in texts]
-        key, item, at = [], [], []
+        self.size = np.array([len(x) for x in self.items], np.int64)
+        self.lengths = sorted({min(n, k) for k in self.size.tolist() if k})  # of seeds
+        self.base = len(self.numbers) + 1
+        if self.base**n * (n + 1) >= 2**64:
+            raise ValueError("a block has too many different words for its n-grams to be told apart: use smaller blocks")
+        key, item, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, x in enumerate(self.items):
-            k = self.keys(x)
-            key.append(k)
-            item.append(np.full(len(k), i))
-            at.append(np.arange(len(k)))
-        self.key = np.concatenate(key) if key else np.zeros(0, np.uint64)
+            if len(x):
+                k = self.keys(x, min(n, len(x)))
+                key.append(k)
+                item.append(np.full(len(k), i))
+                at.append(np.arange(len(k)))
+        self.key = np.concatenate(key)
         by = np.argsort(self.key, kind="stable")
         self.key, self.item, self.at = self.key[by], np.concatenate(item)[by], np.concatenate(at)[by]
         self.grams, self.first, self.count = np.unique(self.key, return_index=True, return_counts=True)
 
-    def keys(self, x: np.ndarray) -> np.ndarray:
-        """A number for the n-gram at each place. Exact: distinct n-grams of the block's words have distinct numbers up to 2**64 of them."""
-        m = len(x) - self.n + 1
-        if m <= 0:
-            return np.zeros(0, np.uint64)
-        out = np.zeros(m, np.uint64)
-        for k in range(self.n):
-            out = out * np.uint64(0x1F123BB5159A55E5) + (x[k : k + m] + 1).astype(np.uint64)
+    def keys(self, x: np.ndarray, m: int) -> np.ndarray:
+        """A number for the gram of m words at each place; different grams have different numbers."""
+        places = max(0, len(x) - m + 1)
+        out = np.full(places, m, np.uint64)
+        for k in range(m):
+            out = out * np.uint64(self.base) + (x[k : k + places] + 1).astype(np.uint64)
         return out
 
     def seeds(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Words of all texts as numbers, where each text starts, and the places and indices of n-grams that the block has."""
+        """Words of all texts as numbers, where each text starts, and the places and indices of grams that the block has, by place."""
         find = self.numbers.__getitem__
         all_: list[int] = []
         starts = []
@@ -86,94 +99,137 @@ class Block:
             all_.extend(map(find, words_of(t)))
             all_.append(-1)
         x = np.array(all_, np.int64)
-        m = len(x) - self.n + 1
-        if m <= 0 or not len(self.grams):
-            return x, np.array(starts), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        good = np.ones(m, bool)
-        for k in range(self.n):
-            good &= x[k : k + m] >= 0
-        place = np.flatnonzero(good)
-        key = self.keys(x)[place]
-        gram = np.minimum(np.searchsorted(self.grams, key), len(self.grams) - 1)
-        hit = self.grams[gram] == key
-        return x, np.array(starts), place[hit], gram[hit]
+        places, grams = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for m in self.lengths:
+            known = np.append(0, np.cumsum(x < 0))
+            place = np.flatnonzero(known[m:] == known[: len(known) - m])
+            key = self.keys(x, m)[place]
+            gram = np.minimum(np.searchsorted(self.grams, key), len(self.grams) - 1)
+            hit = self.grams[gram] == key
+            places.append(place[hit])
+            grams.append(gram[hit])
+        place, gram = np.concatenate(places), np.concatenate(grams)
+        by = np.argsort(place, kind="stable")
+        return x, np.array(starts), place[by], gram[by]
 
 
 def align(items: np.ndarray, sizes: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Local alignment of each row of items (its first ``sizes`` numbers) with its window: score, and where it ends in the window and the item (exclusive)."""
-    p, w = windows.shape
-    j = np.arange(w, dtype=np.int32)
-    h = np.zeros((p, w + 1), np.int32)
+    """Local alignment of each row of items (its first ``sizes`` numbers) with its window: score, and where it ends in the window and the item (exclusive).
+
+    Word i of the item meets words i, ..., i + band of the window; the band is what the windows are wider than the items.
+    """
+    p, band = len(windows), windows.shape[1] - items.shape[1] + 1
+    j = np.arange(band, dtype=np.int32)
+    h = np.zeros((p, band + 1), np.int32)  # the last column is beyond the band
     best, end, item_end = np.zeros(p, np.int32), np.zeros(p, np.int64), np.zeros(p, np.int64)
     for i in range(items.shape[1]):
-        s = np.where(windows == items[:, i, None], 2, -1).astype(np.int32)
+        s = np.where(windows[:, i : i + band] == items[:, i, None], 2, -1).astype(np.int32)
         row = np.maximum(h[:, :-1] + s, h[:, 1:] - 1)
         np.maximum(row, 0, out=row)
         row = np.maximum.accumulate(row + j, axis=1) - j
-        h[:, 1:] = row
+        h[:, :-1] = row
         at = row.argmax(1)
         top = row[np.arange(p), at]
         up = (top > best) & (i < sizes)
-        best[up], end[up], item_end[up] = top[up], at[up] + 1, i + 1
+        best[up], end[up], item_end[up] = top[up], i + at[up] + 1, i + 1
     return best, end, item_end
 
 
+def _grouped(keys: list[np.ndarray], low: np.ndarray, high: np.ndarray, rare: np.ndarray) -> list[np.ndarray]:
+    """One row for each combination of keys: the lowest and highest place in the item, and whether any seed is rare."""
+    if not len(low):
+        return [*keys, low, high, rare]
+    by = np.lexsort(keys[::-1])
+    keys = [k[by] for k in keys]
+    differs = np.zeros(len(low) - 1, bool)
+    for k in keys:
+        differs |= k[1:] != k[:-1]
+    new = np.flatnonzero(np.concatenate(([True], differs)))
+    return [*(k[new] for k in keys), np.minimum.reduceat(low[by], new), np.maximum.reduceat(high[by], new), np.logical_or.reduceat(rare[by], new)]
+
+
+def _candidates(block: Block, rare: np.ndarray, starts: np.ndarray, place: np.ndarray, gram: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """Rows (text, item, lowest diagonal) of the bands that are worth an alignment.
+
+    A band is worth it with a rare seed, or with seeds at two places of the item. Seeds of a place are
+    unfolded to the items that have them, a bounded number of them at a time, texts in order.
+    """
+    text = np.searchsorted(starts, place, "right") - 1
+    upto = np.cumsum(block.count[gram])
+    out, open_ = [], None
+    begin = 0
+    while begin < len(place):
+        done = upto[begin - 1] if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(upto, done + _SEEDS, "right")))
+        many = block.count[gram[begin:stop]]
+        offset = np.repeat(block.first[gram[begin:stop]] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        item, at = block.item[offset], block.at[offset]
+        t, g = np.repeat(text[begin:stop], many), np.repeat(gram[begin:stop], many)
+        diagonal = np.repeat(place[begin:stop], many) - at - starts[t] + (1 << 40)
+        whole = rare[g] & (block.size[item] < block.n)
+        some = rare[g] & (block.size[item] >= block.n) | whole
+        fits = (block.size[item] >= block.n) | whole
+        rows = []
+        for half in (0, 1):  # bands twice, so that near seeds share one
+            low = (diagonal + half * (slack[item] // 2)) // slack[item] * slack[item] - half * (slack[item] // 2) - (1 << 40)
+            rows.append([t[fits], item[fits], low[fits], at[fits], at[fits], some[fits]])
+        if open_ is not None:
+            rows.append(open_)
+        rows = [np.concatenate(c) for c in zip(*rows, strict=True)]
+        rows = _grouped(rows[:3], *rows[3:])
+        last = rows[0] == text[stop - 1] if stop < len(place) else np.zeros(len(rows[0]), bool)  # this text may go on
+        open_ = [c[last] for c in rows]
+        go = ~last & (rows[5] | (rows[4] > rows[3]))
+        out.append(np.stack([c[go] for c in rows[:3]], axis=1))
+        begin = stop
+    return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+
+
 def block_leaks(block: Block, rare: np.ndarray, texts: list[str | None], rules: LeakRules) -> list[tuple]:
     """(text, item, score, begin, end) of the best alignment of each text and item that is similar enough; begin and end in words of the text."""
     x, starts, place, gram = block.seeds(texts)
     if not len(place):
         return []
-    # every (place, item, place in item) of the seeds
-    many = block.count[gram]
-    offset = np.repeat(block.first[gram] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-    place, gram = np.repeat(place, many), np.repeat(gram, many)
-    item, at = block.item[offset], block.at[offset]
-    text = np.searchsorted(starts, place, "right") - 1
-    size = np.array([len(v) for v in block.items])
-    slack = np.maximum(8, size // 2)
-    diagonal = place - at - starts[text] + (1 << 20)
-    found = {}
-    for half in (0, 1):  # bands twice, so that near seeds share one
-        band = (diagonal + half * (slack[item] // 2)) // slack[item]
-        by = np.lexsort((at, band, item, text))
-        t, i, b, a = text[by], item[by], band[by], at[by]
-        new = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1]))))
-        differs = np.concatenate(([1], ((a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (i[1:] != i[:-1]) | (t[1:] != t[:-1])).astype(np.int64)))
-        go = (np.add.reduceat(differs, new) >= 2) | np.logical_or.reduceat(rare[gram[by]], new)
-        for k in new[go].tolist():
-            low = int(b[k]) * int(slack[i[k]]) - half * int(slack[i[k]]) // 2 - (1 << 20)
-            found[int(t[k]), int(i[k]), low] = None
-    pairs = sorted(found, key=lambda q: (size[q[1]], q))
+    size = block.size
+    slack = np.clip(size // 2, 8, rules.max_slack)
+    pairs = _candidates(block, rare, starts, place, gram, slack)
+    pairs = pairs[np.lexsort((pairs[:, 2], pairs[:, 0], pairs[:, 1], size[pairs[:, 1]]))]
     stops = np.append(starts[1:], len(x)) - 1
     best: dict[tuple[int, int], tuple] = {}
-    for k in range(0, len(pairs), _PAIRS):
-        part = pairs[k : k + _PAIRS]
-        sizes = np.array([size[i] for _, i, _ in part])
-        long_ = int(sizes.max())
-        width = int((sizes + 4 * slack[[i for _, i, _ in part]]).max())
+    k = 0
+    while k < len(pairs):
+        # pairs go by size: as many as fit with the largest one's width
+        more = size[pairs[k:, 1]]
+        cells = np.arange(1, len(more) + 1) * (more + 4 * slack[pairs[k:, 1]] + 1)
+        part = pairs[k : k + max(1, int(np.searchsorted(cells, _CELLS, "right")))]
+        k += len(part)
+        sizes, spare = size[part[:, 1]], slack[part[:, 1]]
+        long_, band = int(sizes.max()), int(4 * spare.max())
         items = np.full((len(part), long_), -2, np.int64)
-        windows = np.full((len(part), width), -1, np.int64)
+        windows = np.full((len(part), long_ + band), -1, np.int64)
         froms = np.zeros(len(part), np.int64)
-        for r, (t, i, low) in enumerate(part):
+        for r, (t, i, low) in enumerate(part.tolist()):
             items[r, : sizes[r]] = block.items[i]
-            begin = max(0, low - int(slack[i])) + int(starts[t])
-            begin = min(begin, int(stops[t]))
-            cut = x[begin : min(int(stops[t]), begin + width)]
-            windows[r, : len(cut)] = cut
-            froms[r] = begin - int(starts[t])
+            first = low - int(spare[r]) + int(starts[t])  # the window's first word, maybe before the text
+            begin, stop = max(first, int(starts[t])), min(int(stops[t]), first + long_ + band)
+            if begin < stop:
+                windows[r, begin - first : stop - first] = x[begin:stop]
+            froms[r] = first - int(starts[t])
         score, end, item_end = align(items, sizes, windows)
-        ok = np.flatnonzero(score >= rules.min_similarity * 2 * sizes)
+        ok = np.flatnonzero((score >= rules.min_similarity * 2 * sizes) & (score > 0) & ((sizes >= block.n) | (score == 2 * sizes)))
         if not len(ok):
             continue
         # the same alignment backwards from its end finds where it begins
-        back = np.full((len(ok), int(item_end[ok].max())), -2, np.int64)
-        seen = np.full((len(ok), int(end[ok].max())), -1, np.int64)
+        widest, side = int(item_end[ok].max()), band
+        back = np.full((len(ok), widest), -2, np.int64)
+        seen = np.full((len(ok), widest + 2 * side), -1, np.int64)
         for r, q in enumerate(ok.tolist()):
             back[r, : item_end[q]] = items[q, : item_end[q]][::-1]
-            seen[r, : end[q]] = windows[q, : end[q]][::-1]
+            ahead = windows[q, max(0, end[q] - widest - side) : end[q]][::-1]
+            seen[r, side : side + len(ahead)] = ahead
         _, length, _ = align(back, item_end[ok], seen)
-        for q, n in zip(ok.tolist(), length.tolist(), strict=True):
-            t, i, _ = part[q]
+        for q, n in zip(ok.tolist(), (length - side).tolist(), strict=True):
+            t, i, _ = part[q].tolist()
             stop = int(froms[q] + end[q])
             got = (int(score[q]), stop - int(n), stop)
             old = best.get((t, i))
@@ -227,7 +283,7 @@ def leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules(), id_
     """One row per document and item that it holds a copy of: ids, similarity, and begin and end of the copy in words of the document."""
     spark = docs.sparkSession
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_id].dataType
-    item_type = pa.int64() if item_kind.simpleString() == "bigint" else pa.int32() if item_kind.simpleString() == "int" else pa.string()
+    item_type = to_arrow_type(item_kind)
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     schema = f"`{id_col}` {kind}, `{item_id}` {item_kind.simpleString()}, similarity double, doc_begin long, doc_end long"
     out = None
@@ -237,7 +293,7 @@ def leaks(docs: DataFrame, items: DataFrame, rules: LeakRules = LeakRules(), id_
             block = sent.value
             for batch in batches:
                 rows = block_leaks(block, rare, batch.column(1).to_pylist(), rules)
-                likeness = [r[2] / (2 * len(block.items[r[1]])) for r in rows]
+                likeness = [r[2] / (2 * int(block.size[r[1]])) for r in rows]
                 cols = [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([block.ids[r[1]] for r in rows], item_type), pa.array(likeness, pa.float64()), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, [id_col, item_id, "similarity", "doc_begin", "doc_end"])
 

@@ -15,15 +15,17 @@ the sample, and rows of the held-out fold never are. Only texts enter the featur
 
 Null and empty texts have a zero vector, similar to nothing: their score is 0.0 if the sample's empty
 texts are mostly of label 0 or there are none, else 1.0. Null labels are ignored, of repeated ids in
-the labels each row counts, and repeated documents get equal scores. Ties between neighbours fall to
-the earlier in the sample. Without any labelled row every score is 0.5. Other columns are ignored.
+the labels each row counts. Similarities are rounded to six places, beyond which the order of
+additions shows; so repeated documents get equal scores, and ties between neighbours fall to the
+earlier in the sample. A text of any length is read in pieces of about a megabyte; what is held of it
+are two numbers for each word. Without any labelled row every score is 0.5. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ _KIND[65:91] = 1
 _KIND[97:123] = 0
 _KIND[[9, 10, 11, 12, 13, 32]] = 3
 _BLOCK = 512  # documents multiplied at once
+_PIECE = 1 << 20  # bytes of a text read at once
+_BLANKS = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
 
 @dataclass(frozen=True)
@@ -56,35 +60,54 @@ def features(text: bytes | None) -> np.ndarray:
     out = np.zeros(WIDTH, np.float32)
     if not text:
         return out
-    b = np.frombuffer(text, np.uint8).astype(np.int64)
-    kind = _KIND[b]
-    sign = np.where(kind == 4, b, kind)  # signs keep their identity
-    slots = [(b * 7 + 1) % 256]
-    if len(b) > 1:
-        slots += [256 + (b[:-1] * 131 + b[1:] * 17) % 640, 896 + (sign[:-1] * 257 + sign[1:] * 31) % 256]
-    if len(b) > 2:
-        slots += [1152 + (sign[:-2] * 1009 + sign[1:-1] * 389 + sign[2:] * 97) % 512]
-    words, lines = text.split(), text.split(b"\n")
-    sizes = np.minimum([len(w) for w in words] or [0], 31)
-    slots += [1664 + sizes]
-    slots += [1696 + np.minimum(np.array([len(x) for x in lines]) // 16, 31)]
-    counts = np.bincount(np.concatenate(slots), minlength=WIDTH).astype(np.float32)
+    data = np.frombuffer(text, np.uint8)
+    counts, kinds = np.zeros(WIDTH, np.int64), np.zeros(6, np.int64)
+    for begin in range(0, len(data), _PIECE):
+        b = data[begin : begin + _PIECE + 2].astype(np.int64)  # two more, for the pairs and triples that begin here
+        m = min(_PIECE, len(b))
+        kind = _KIND[b]
+        sign = np.where(kind == 4, b, kind)  # signs keep their identity
+        kinds += np.bincount(kind[:m], minlength=6)
+        slots = [(b[:m] * 7 + 1) % 256]
+        if len(b) > 1:
+            slots += [(256 + (b[:-1] * 131 + b[1:] * 17) % 640)[:m], (896 + (sign[:-1] * 257 + sign[1:] * 31) % 256)[:m]]
+        if len(b) > 2:
+            slots += [(1152 + (sign[:-2] * 1009 + sign[1:-1] * 389 + sign[2:] * 97) % 512)[:m]]
+        for s in slots:
+            counts += np.bincount(s, minlength=WIDTH)
+    sizes, words = (np.concatenate(x) for x in zip(*((np.fromiter(map(len, w), np.int64, len(w)), np.fromiter(map(hash, w), np.int64, len(w))) for w in _word_lists(text)), strict=True))
+    lines = text.split(b"\n")
+    counts += np.bincount(1664 + np.minimum(sizes if len(sizes) else [0], 31), minlength=WIDTH)
+    counts += np.bincount(1696 + np.minimum(np.array([len(x) for x in lines]) // 16, 31), minlength=WIDTH)
+    counts = counts.astype(np.float32)
     share = lambda part, whole: int(15 * part / whole) if whole else 0
     full = [x for x in lines if x.strip()]
+    n = len(words)
+    triples = words[:-2] * 3 + words[1:-1] * 5 + words[2:] * 7 if n > 2 else words[:0]
     marks = (
-        (1728, share(len(words) - len(set(words)), len(words))),
+        (1728, share(n - len(np.unique(words)), n)),
         (1744, share(len(full) - len(set(full)), len(full))),
-        (1760, min(15, len(words).bit_length())),
-        (1776, share(int((kind == 1).sum()), len(b))),
-        (1792, share(int((kind == 4).sum()), len(b))),
-        (1824, share(sum(map(eq, words, words[1:])), len(words) - 1)),
-        (1808, share(len(words) - 2 - len(set(zip(words, words[1:], words[2:]))), len(words) - 2) if len(words) > 2 else 0),
+        (1760, min(15, n.bit_length())),
+        (1776, share(int(kinds[1]), len(data))),
+        (1792, share(int(kinds[4]), len(data))),
+        (1824, share(int((words[1:] == words[:-1]).sum()), n - 1)),
+        (1808, share(n - 2 - len(np.unique(triples)), n - 2) if n > 2 else 0),
     )
     for base, k in marks:
-        counts[base + k] += 0.03 * len(b) + 2
+        counts[base + k] += 0.03 * len(data) + 2
     return np.log1p(counts, out=counts)
 
 
+def _word_lists(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, of about a megabyte at a time."""
+    at = 0
+    while at < len(text) or at == 0:
+        cut = _BLANKS.search(text, at + _PIECE)
+        stop = cut.start() if cut else len(text)
+        yield text[at:stop].split()
+        at = max(stop, 1)
+
+
 @dataclass
 class Votes:
     idf: np.ndarray
@@ -125,8 +148,11 @@ class Votes:
             some = x.any(1)
             v = (x * self.idf) @ self.axes
             v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-            like = v @ self.vectors.T
-            near = np.argpartition(-like, k - 1, axis=1)[:, :k]
+            like = np.round(v @ self.vectors.T, 6)
+            least = np.partition(like, -k, axis=1)[:, -k, None]
+            tied = like == least
+            room = k - (like > least).sum(1, keepdims=True)
+            near = np.nonzero((like > least) | (tied & (np.cumsum(tied, axis=1) <= room)))[1].reshape(len(part), k)
             w = np.maximum(np.take_along_axis(like, near, 1), 1e-6).astype(np.float64) ** self.rules.sharpness * self.weights[near]
             got = (w * self.labels[near]).sum(1) / w.sum(1)
             out[begin : begin + len(part)][some] = got[some]

@@ -63,11 +63,17 @@ def _loss_chars(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(0), lambda n, p: n + F.when(p["loss"], F.length(p["body"])).otherwise(0)).cast("long")
 
 
+def _mask(parts: Column) -> Column:
+    """The loss mask over a completion's characters, as runs: ``0*11 1*14`` is 11 characters without and 14 with loss."""
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.lit("0*"), F.length(p["head"]), F.lit(" "), p["loss"].cast("int"), F.lit("*"), F.length(p["body"]))), " ")
+
+
 def format_preferences(pairs: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
     """pairs: id, chosen and rejected, arrays of (role, text). Adds the rendered sides.
 
     id, n_common_turns, prompt, chosen, rejected (texts), chosen_parts, rejected_parts (header, body
-    and loss flag of each turn), chosen_loss, rejected_loss (characters under the mask), usable.
+    and loss flag of each turn), chosen_mask, rejected_mask (runs of characters), chosen_loss,
+    rejected_loss (characters under the mask), usable.
     """
     both = pairs.filter("size(chosen) > 0 and size(rejected) > 0").withColumn("n_common_turns", common_turns(F.col("chosen"), F.col("rejected")))
     rest = lambda side: _rendered(F.slice(side, F.col("n_common_turns") + 1, F.size(side)), template)
@@ -76,6 +82,8 @@ def format_preferences(pairs: DataFrame, template: ChatTemplate = ChatTemplate()
         "*",
         _joined(F.col("chosen_parts")).alias("chosen"),
         _joined(F.col("rejected_parts")).alias("rejected"),
+        _mask(F.col("chosen_parts")).alias("chosen_mask"),
+        _mask(F.col("rejected_parts")).alias("rejected_mask"),
         _loss_chars(F.col("chosen_parts")).alias("chosen_loss"),
         _loss_chars(F.col("rejected_parts")).alias("rejected_loss"),
         ((F.size("chosen_parts") > 0) & (F.size("rejected_parts") > 0)).alias("usable"),
@@ -111,15 +119,19 @@ def encode_preferences(formatted: DataFrame, tokenizer: str) -> DataFrame:
     return formatted.select(*kept, "prompt", "chosen_parts", "rejected_parts").mapInArrow(run, schema)
 
 
-def echo_pairs(turns: DataFrame, assistant: str = "assistant", **cols) -> DataFrame:
+def reply_pairs(turns: DataFrame, assistant: str = "assistant", **cols) -> DataFrame:
     """Pairs from single conversations: (id, chosen, rejected).
 
-    chosen ends with the last assistant turn; in rejected that turn repeats the turn before it word
-    for word. Conversations without a reply to some turn give no pair.
+    chosen is the conversation up to its last assistant turn. In rejected one reply, which a hash of
+    the id picks among all assistant turns but an opening one, says what the turn before it says; the
+    turns after it are the same. So pairs part at any depth, and not at all where the reply is an echo
+    already. Conversations without a reply to some turn give no pair.
     """
     talks = conversations(turns, **cols)
-    last = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: t["role"] == assistant)), True).cast("int") + 1
-    talks = talks.filter(F.exists("turns", lambda t: t["role"] == assistant)).withColumn("last", last).filter("last > 1")
-    before = F.element_at("turns", F.col("last") - 1)["text"]
-    echo = F.struct(F.lit(assistant).alias("role"), before.alias("text"))
-    return talks.select("id", F.slice("turns", F.lit(1), F.col("last")).alias("chosen"), F.concat(F.slice("turns", F.lit(1), F.col("last") - 1), F.array(echo)).alias("rejected"))
+    replies = F.filter(F.transform("turns", lambda t, i: F.when((t["role"] == assistant) & (i > 0), i)), lambda i: i.isNotNull())
+    talks = talks.withColumn("replies", replies).filter("size(replies) > 0")
+    digest = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10).cast("long")
+    talks = talks.withColumn("k", F.get("replies", F.pmod(digest, F.size("replies")).cast("int"))).withColumn("last", F.element_at("replies", -1))
+    echo = F.struct(F.lit(assistant).alias("role"), F.get("turns", F.col("k") - 1)["text"].alias("text"))
+    chosen = F.slice("turns", F.lit(1), F.col("last") + 1)
+    return talks.select("id", chosen.alias("chosen"), F.transform(chosen, lambda t, i: F.when(i == F.col("k"), echo).otherwise(t)).alias("rejected"))

@@ -62,8 +62,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = preferences.format_preferences(preferences.echo_pairs(_table(spark, sf_dir, "conversations")))
-    return out.select(F.col("id").alias("conv_id"), "n_common_turns", "prompt", "chosen", "rejected", "chosen_loss", "rejected_loss", "usable")
+    out = preferences.format_preferences(preferences.reply_pairs(_table(spark, sf_dir, "conversations")))
+    return out.select(F.col("id").alias("conv_id"), "n_common_turns", "prompt", "chosen", "rejected", "chosen_mask", "rejected_mask", "chosen_loss", "rejected_loss", "usable")
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +121,15 @@ q AS (SELECT a.doc_id, b.i - a.i AS gap, a.i - row_number() OVER (PARTITION BY a
 m AS (SELECT doc_id, max(n) + 4 AS longest FROM (SELECT doc_id, count(*) AS n FROM q GROUP BY doc_id, gap, run) GROUP BY doc_id),
 f AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(repeated, 0)::BIGINT AS n_repeat_words, coalesce(covered, 0)::BIGINT AS covered_words, coalesce(longest, s.k, 0)::BIGINT AS longest_repeat FROM d JOIN l ON d.doc_id = l.doc_id LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id)
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR covered_words > 0.2::DOUBLE * n_words OR longest_repeat > 50) AS kept FROM f
+""",
+    # The tables hold no links between hosts: trust and distrust stay on the hosts of the urls that rules decide.
+    "op4_url_filters": r"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+f AS (SELECT * FROM (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) t(site, prefix, says)),
+m AS (SELECT page_id, host, path, arg_max(site || prefix, length(site || prefix)) AS rule, arg_max(says, length(site || prefix)) AS said FROM h LEFT JOIN f ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, prefix) GROUP BY page_id, host, path),
+s AS (SELECT host, count(*) FILTER (WHERE said = 'block') AS bad, count(*) FILTER (WHERE said = 'allow') AS good FROM m WHERE host <> '' GROUP BY host)
+SELECT page_id, m.host, path, rule, coalesce(said, CASE WHEN bad > good THEN 'block' ELSE 'allow' END) AS verdict FROM m LEFT JOIN s ON s.host = m.host
 """,
     "op5_suffix_array_dedup": r"""
 WITH h AS (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
@@ -135,15 +144,19 @@ FROM h LEFT JOIN k ON k.doc_id = h.doc_id
     "op9_preference_formatting": r"""
 WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM t),
-l AS (SELECT conv_id, max(CASE WHEN role = 'assistant' THEN pos END) AS last FROM n GROUP BY conv_id),
-c AS (SELECT n.*, l.last, lag(text) OVER (PARTITION BY n.conv_id ORDER BY pos) AS echo FROM n JOIN l ON n.conv_id = l.conv_id AND pos <= l.last AND l.last > 1),
-e AS (SELECT *, max(CASE WHEN pos = last THEN CASE WHEN text = echo THEN last ELSE last - 1 END END) OVER (PARTITION BY conv_id) AS common, '<' || role || '>' || chr(10) AS head, chr(10) || '<end>' || chr(10) AS tail FROM c)
+a AS (SELECT conv_id, pos, row_number() OVER (PARTITION BY conv_id ORDER BY pos) - 1 AS nth, count(*) OVER (PARTITION BY conv_id) AS m, max(pos) OVER (PARTITION BY conv_id) AS last FROM n WHERE role = 'assistant' AND pos > 1),
+k AS (SELECT conv_id, pos AS k, last FROM a WHERE nth = ('0x' || substr(md5(conv_id::VARCHAR), 1, 8))::BIGINT % m),
+p AS (SELECT n.*, lag(text) OVER (PARTITION BY n.conv_id ORDER BY pos) AS before, k, last FROM n JOIN k ON n.conv_id = k.conv_id),
+c AS (SELECT conv_id, pos, role, text AS chosen, CASE WHEN pos = k THEN before ELSE text END AS rejected, last, '<' || role || '>' || chr(10) AS head, chr(10) || '<end>' || chr(10) AS tail, (role = 'assistant')::INT AS loss FROM p WHERE pos <= last),
+e AS (SELECT *, coalesce(min(pos) FILTER (WHERE chosen <> rejected) OVER (PARTITION BY conv_id) - 1, last) AS common FROM c)
 SELECT conv_id, max(common)::INTEGER AS n_common_turns,
-  coalesce(string_agg(head || text || tail, '' ORDER BY pos) FILTER (WHERE pos <= common), '') AS prompt,
-  coalesce(string_agg(head || text || tail, '' ORDER BY pos) FILTER (WHERE pos > common), '') AS chosen,
-  coalesce(string_agg(head || echo || tail, '' ORDER BY pos) FILTER (WHERE pos > common), '') AS rejected,
-  coalesce(sum(length(text) + 7) FILTER (WHERE pos > common), 0)::BIGINT AS chosen_loss,
-  coalesce(sum(length(echo) + 7) FILTER (WHERE pos > common), 0)::BIGINT AS rejected_loss,
+  coalesce(string_agg(head || chosen || tail, '' ORDER BY pos) FILTER (WHERE pos <= common), '') AS prompt,
+  coalesce(string_agg(head || chosen || tail, '' ORDER BY pos) FILTER (WHERE pos > common), '') AS chosen,
+  coalesce(string_agg(head || rejected || tail, '' ORDER BY pos) FILTER (WHERE pos > common), '') AS rejected,
+  coalesce(string_agg('0*' || length(head) || ' ' || loss || '*' || length(chosen || tail), ' ' ORDER BY pos) FILTER (WHERE pos > common), '') AS chosen_mask,
+  coalesce(string_agg('0*' || length(head) || ' ' || loss || '*' || length(rejected || tail), ' ' ORDER BY pos) FILTER (WHERE pos > common), '') AS rejected_mask,
+  coalesce(sum(length(chosen) + 7) FILTER (WHERE pos > common AND loss = 1), 0)::BIGINT AS chosen_loss,
+  coalesce(sum(length(rejected) + 7) FILTER (WHERE pos > common AND loss = 1), 0)::BIGINT AS rejected_loss,
   max(last) > max(common) AS usable
 FROM e GROUP BY conv_id
 """,

@@ -3,8 +3,9 @@
 A url that a rule fits gets the longest rule's verdict. All others get their host's: personalised
 PageRank spreads trust from the hosts of allowed urls along links, and distrust from the hosts of
 blocked urls against them (who links to blocked hosts is suspect). Both start from shares of pages
-and are scaled back to pages; a host is blocked if distrust is more than ``threshold`` of the sum.
-Hosts that neither reaches are allowed.
+and are scaled back to pages; a host is blocked if distrust is more than ``threshold`` of the sum, by
+more than the ``tolerance`` to which both are known, so a host with as much of either is allowed, as is
+one that neither reaches. Rounds go on until the masses change by less than the tolerance.
 
 Everything is DataFrame functions. Links are counted per pair of hosts before anything else, so no
 host's pages meet in one task, and each round of propagation is an equi-join and two pre-aggregated
@@ -12,7 +13,8 @@ sums, written to the shared folder.
 
 A null url, or one without ``://``, has an empty host and path; empty hosts have no links and are
 allowed. Null html has no links. Repeated pages are judged alike and count twice as seeds and links.
-Of rules of equal length the first by code point wins. An empty table gives no rows. Columns other
+Of rules of equal length the first by code point wins. A page of any length gives each pair of hosts
+it links once a link. An empty table gives no rows. Columns other
 than id, url and html are ignored.
 """
 
@@ -45,7 +47,7 @@ class Rule:
 @dataclass(frozen=True)
 class TrustRules:
     damping: float = 0.85
-    rounds: int = 20
+    rounds: int = 200  # more than 1e-6 needs; without the tolerance by then it is an error
     tolerance: float = 1e-6  # of the total change in a round
     threshold: float = 0.5
 
@@ -72,23 +74,24 @@ def _spread(links: DataFrame, seeds: DataFrame, trust: TrustRules, backwards: bo
     """(host, mass) after propagation from (host, seed); both sum to one, or there are no seeds."""
     a, b = ("target", "source") if backwards else ("source", "target")
     edges = links.select(F.col(a).alias("a"), F.col(b).alias("b"), "n")
-    out = edges.groupBy("a").agg(F.sum("n").alias("all"))
+    out = materialize(edges.groupBy("a").agg(F.sum("n").alias("all")), "degrees")  # a join with a plain table can split a hub
     edges = materialize(edges.join(out, "a").select("a", "b", (F.col("n") / F.col("all")).alias("share")), "links")
-    now = materialize(seeds.select("host", "seed", F.col("seed").alias("mass")), "mass")
-    for _ in range(trust.rounds):
+    now, written = seeds.select("host", "seed", F.col("seed").alias("mass")), seeds
+    for k in range(trust.rounds):
         sent = edges.join(now.select(F.col("host").alias("a"), "mass"), "a").groupBy(F.col("b").alias("host")).agg(F.sum(F.col("mass") * F.col("share")).alias("got"))
         both = now.select("host", "seed", "mass", F.lit(0.0).alias("got")).unionByName(sent.select("host", F.lit(0.0).alias("seed"), F.lit(0.0).alias("mass"), "got"))
         both = materialize(both.groupBy("host").agg(*(F.sum(c).alias(c) for c in ("seed", "mass", "got"))), "mass")
         kept = both.agg(F.sum("got")).first()[0] or 0.0  # the rest had nowhere to go and returns to the seeds
         after = trust.damping * (F.col("got") + (1.0 - kept) * F.col("seed")) + (1 - trust.damping) * F.col("seed")
-        after = both.select("host", "seed", after.alias("after"), "mass")
-        change = after.agg(F.sum(F.abs(F.col("after") - F.col("mass")))).first()[0] or 0.0
-        discard(now)
-        now = materialize(after.select("host", "seed", F.col("after").alias("mass")), "mass")
-        discard(both)
+        change = both.agg(F.sum(F.abs(after - F.col("mass")))).first()[0] or 0.0
+        now = both.select("host", "seed", after.alias("mass"))
+        if k:
+            discard(written)
+        written = both
         if change < trust.tolerance:
-            break
-    return now.select("host", "mass")
+            discard(edges, out)
+            return now.select("host", "mass")
+    raise RuntimeError(f"propagation still changes {change} of the mass after {trust.rounds} rounds")
 
 
 def host_trust(pages: DataFrame, links: DataFrame, trust: TrustRules = TrustRules()) -> DataFrame:
@@ -124,5 +127,5 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], trust: TrustRules = Trus
     out = seen.drop("links").join(hosts, "host", "left")
     zero = F.lit(0.0)
     good, bad = F.coalesce("trust", zero), F.coalesce("distrust", zero)
-    verdict = F.coalesce("verdict", F.when(bad > trust.threshold * (good + bad), "block").otherwise("allow"))
+    verdict = F.coalesce("verdict", F.when(bad > (trust.threshold + trust.tolerance) * (good + bad), "block").otherwise("allow"))
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), good.alias("trust"), bad.alias("distrust"))
