@@ -362,7 +362,7 @@ def test_the_mix_keeps_columns_with_clashing_names(spark):
 # --- repeated bytes ---
 
 
-@pytest.mark.parametrize("length", [20, 200])
+@pytest.mark.parametrize("length", [20, 21, 200])
 def test_repeated_bytes(corpus, docs, empty, length):
     texts = [(r[0], (r[1] or "").encode()) for r in corpus]
     seen = Counter(b[p : p + length] for _, b in texts for p in range(len(b) - length + 1))
@@ -374,7 +374,7 @@ def test_repeated_bytes(corpus, docs, empty, length):
                 m[p + 1 : p + 1 + length] = 1
         kept = bytes(np.frombuffer(b, np.uint8)[m[1:-1] == 0])
         want[i, len(b), len(b) - len(kept), int((np.diff(m) == 1).sum()), hashlib.sha256(kept).hexdigest()] += 1
-    how = {"anchor": 8, "bin_bytes": 3000} if length == 20 else {}
+    how = {20: {"anchor": 8, "bin_bytes": 3000}, 21: {"anchor": 8, "bin_bytes": 30}, 200: {}}[length]  # 30: every anchor is a hot one
     out = repeated_bytes.remove_repeats(docs, length, **how)
     rows = out.collect()
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows) == want
@@ -382,6 +382,16 @@ def test_repeated_bytes(corpus, docs, empty, length):
     assert repeated_bytes.remove_repeats(empty).count() == 0
 
 
+def test_a_hot_anchor_is_spread(spark):
+    """A passage in many documents, other text around it in each: only the passage goes, whichever way its anchors take."""
+    rng = random.Random(13)
+    passage = prose(rng, 40)
+    d = spark.createDataFrame([(i, prose(rng, 40) + passage + prose(rng, 40)) for i in range(150)], "doc_id long, text string")
+    for size in (repeated_bytes.BIN_BYTES, 2000):
+        got = repeated_bytes.remove_repeats(d, 200, bin_bytes=size).collect()
+        assert all(len(passage) <= r["n_removed"] <= len(passage) + 4 and r["n_spans"] == 1 for r in got)
+
+
 def test_construction_equals_sorting():
     rng = np.random.default_rng(1)
     length, anchor = 6, 3

@@ -9,7 +9,10 @@ document or in two, is removed at both, judged on the input.
    anchor occurs once in the corpus cannot hold a repeat: they go no further than a (key, place) row.
 2. *Collecting.* The other segments are cut out of the texts; equal ones become one with a count, so
    a group of copies of any size is one member of the collection. Members are dealt to bins by their
-   anchor; the number of bins follows their bytes.
+   anchor; the number of bins follows their bytes. The members of an anchor that alone has more bytes
+   than a bin (some text in front of or behind a very common passage, say, different in each document)
+   are not dealt to a bin: each of their windows becomes a row with its 128-bit hash, and equal hashes
+   are counted by an ordinary aggregation. That is exact like the rest, and no task holds them all.
 3. *Construction.* In a bin all members are aligned on their anchor. From the last column to the
    first, each round puts one symbol in front of every member's suffix: the symbols, in suffix order,
    are the column's Burrows-Wheeler transform, a stable counting sort of it gives the order of the
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RID, discard, materialize, small_batches, stable_rows
+from .common import MOST_TASKS, RID, discard, materialize, small_batches, stable_rows, tasks_for
 
 ANCHOR = 48
 BIN_BYTES = 16 << 20
@@ -176,11 +179,14 @@ def repeated_spans(rows: DataFrame, length: int = 200, anchor: int = ANCHOR, bin
     piece = F.substring("text", F.col("first").cast("int") + 1, F.col("n") + F.lit(length - 1))
     segments = wanted.join(texts, RID).select(RID, "key", "before", "first", "n", piece.alias("segment"))
     segments = materialize(segments.withColumns({"s1": F.xxhash64("segment"), "s2": F.xxhash64(F.lit("veedor"), "segment", "before")}), "segments")
-    discard(places)
+    discard(places, twice)
 
-    members = segments.groupBy("key", "s1", "s2", "before", "n", "segment").agg(F.count(F.lit(1)).alias("copies"))
-    total = segments.agg(F.sum(F.octet_length("segment").cast("long"))).first()[0] or 0
-    bins = max(1, -(-total // bin_bytes))
+    members = materialize(segments.groupBy("key", "s1", "s2", "before", "n", "segment").agg(F.count(F.lit(1)).alias("copies")), "members")
+    size = F.octet_length("segment").cast("long")
+    total = members.agg(F.sum(size)).first()[0] or 0
+    bins = tasks_for(total, bin_bytes)
+    most = max(bin_bytes, total // MOST_TASKS)
+    hot = materialize(members.groupBy("key").agg(F.sum(size).alias("bytes")).filter(F.col("bytes") > most).select("key"), "hot")
     last = length - anchor
 
     def construct(table: pa.Table) -> pa.Table:
@@ -194,8 +200,15 @@ def repeated_spans(rows: DataFrame, length: int = 200, anchor: int = ANCHOR, bin
         s1, s2 = np.asarray(table["s1"])[row], np.asarray(table["s2"])[row]
         return pa.table({"s1": s1, "s2": s2, "skip": (first - begin[row, 0]).astype(np.int32), "size": size.astype(np.int32)})
 
-    dealt = members.withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(bins)).cast("int"))
-    runs = materialize(dealt.groupBy("bin").applyInArrow(construct, "s1 long, s2 long, skip int, size int"), "runs")
+    dealt = members.join(hot, "key", "left_anti").withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(bins)).cast("int"))
+    runs = dealt.groupBy("bin").applyInArrow(construct, "s1 long, s2 long, skip int, size int")
+    # the windows of hot anchors, a row each
+    window = members.join(hot, "key", "left_semi").select("s1", "s2", "copies", "segment", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("skip"))
+    window = window.withColumn("w", F.substring("segment", F.col("skip") + 1, F.lit(length))).select("s1", "s2", "copies", "skip", F.xxhash64("w").alias("w1"), F.xxhash64(F.lit("veedor"), "w").alias("w2"))
+    count = materialize(window.groupBy("w1", "w2").agg(F.sum("copies").alias("m")).filter("m > 1").select("w1", "w2"), "windows")
+    alone = window.join(count, ["w1", "w2"], "left_semi").select("s1", "s2", "skip", F.lit(1).alias("size"))
+    runs = materialize(runs.unionByName(alone), "runs")
+    discard(members, hot, count)
     begin = F.col("first") + F.col("skip")
     spans = segments.drop("segment").join(runs, ["s1", "s2"]).select(RID, begin.alias("begin"), (begin + F.col("size") + F.lit(length - 1)).alias("stop"))
     return spans.groupBy(RID).agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
