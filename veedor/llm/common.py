@@ -7,6 +7,7 @@ executor never takes an intermediate result with it, and cut the lineage of iter
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -23,6 +24,7 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_PART = r"^part-(\d{1,9})"
 _WRITTEN: list[str] = []
 MOST_TASKS = 20_000  # of one stage: beyond it tasks grow, not their number
 
@@ -92,12 +94,30 @@ def discard_all(spark: SparkSession) -> None:
 
 
 def stable_rows(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``RID``, a number for each row, written once.
+    """``docs`` with ``RID``, a number for each row that every job sees the same, in the order of files and rows.
 
-    Numbers that are made anew by each job follow the way files are split, and that follows the number
-    of cores at that moment; so nothing but the written table may be read after this.
+    It is made of the number of the row's file and the row's place in it, so it doesn't follow the way
+    files are split among tasks. Anything but the plain scan of a table in Parquet files that are told
+    by their part numbers is written first.
     """
-    return materialize(docs.withColumn(RID, F.monotonically_increasing_id()), "rows")
+    parts = _parts(docs)
+    if parts is None:
+        docs = materialize(docs, "rows")
+    number = F.coalesce(F.try_to_number(F.nullif(F.regexp_extract("_metadata.file_name", _PART, 1), F.lit("")), F.lit("9" * 9)).cast("long"), F.lit(0))
+    out = docs.select("*", (F.shiftleft(number.cast("long"), 36) + F.col("_metadata.row_index")).alias(RID))
+    out._veedor_path = getattr(docs, "_veedor_path", None) if parts is None else None
+    return out
+
+
+def _parts(docs: DataFrame) -> list[int] | None:
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        return None
+    files = docs.inputFiles()
+    found = [re.search(_PART, f.rsplit("/", 1)[-1]) for f in files]
+    if not files or not all(f.endswith(".parquet") for f in files) or (len(files) > 1 and not all(found)):
+        return None
+    numbers = [int(m[1]) if m else 0 for m in found]
+    return numbers if len(set(numbers)) == len(numbers) else None
 
 
 def n_words(text: Column) -> Column:

@@ -11,8 +11,9 @@ however many there are, and there are as many blocks as give a pair at the simil
 only close pairs ever become rows; three standard deviations are allowed, which one similar pair in
 800 exceeds. Then they are compared by their whole sets.
 
-1. Copies collapse to one set. Documents with an equal block are compared with the smallest of them:
-   large groups become connected here, at a few comparisons a member.
+1. Copies collapse to one set. Documents with an equal block are compared with four of them, the
+   smallest by their numbers and by three other orders: large groups become connected here, at a few
+   comparisons a member.
 2. All blocks emit their balls, a few blocks at a time. Only variants with visitors of different
    components are kept. Visitors are compared with the smallest and the largest one there; then all
    pairs between what are still different components are compared. A pair that connects nothing new
@@ -41,8 +42,9 @@ from .common import RID, discard, materialize, small_batches, stable_rows, tasks
 from .components import connected_components
 
 RECALL = 0.95  # of pairs at the similarity itself; more similar ones meet more surely
-AT_ONCE = 3  # blocks whose balls are shuffled together
+AT_ONCE = 2  # blocks whose balls are shuffled together
 CHECK = 8  # further 64 bits of a fingerprint, in no block
+ORDERS = (0, (1 << 62) - 1, 0x2545F4914F6CDD1D, 0x1B873593CC9E2D51)  # a number with these bits flipped: four orders of numbers
 SPREAD = 8192  # documents whose balls one task emits
 _CHUNK = 4096  # shingles whose bits are counted at once
 
@@ -180,40 +182,58 @@ def _values(nodes: DataFrame, plan: Plan, first: int, many: int, *keep: str) ->
 
 
 def _equal_blocks(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """Pairs of every node with the smallest node of each of its blocks."""
+    """Pairs of every node with the first node, in each of the orders, of each of its blocks."""
     visits = _values(nodes, plan, 0, plan.blocks, "node")
-    hubs = materialize(visits.groupBy("token").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("token", "a"), "hubs")
-    return visits.join(hubs, "token").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    first = [F.min(F.col("node").bitwiseXOR(F.lit(o))).bitwiseXOR(F.lit(o)) for o in ORDERS]
+    hubs = materialize(visits.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.array(*first).alias("hubs")).filter("n > 1").select("token", "hubs"), "hubs")
+    stars = visits.join(hubs, "token").select("node", F.explode(F.array_remove(F.array_distinct("hubs"), F.col("node"))).alias("hub"))
+    return stars.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
+def _named(nodes: DataFrame, comp: DataFrame) -> DataFrame:
+    """node, bits, c (its component) and o, a number that tells both: 32 bits of a hash of the component above 32 of the node."""
+    high, low = F.lit(-(1 << 32)), F.lit((1 << 32) - 1)
+    o = F.xxhash64("c").bitwiseAND(high).bitwiseOR(F.xxhash64("node").bitwiseAND(low))
+    return _with_component(nodes.select("node", "bits"), comp, "node", "c").withColumn("o", o)
+
+
+def _apart(a: str, b: str) -> Column:
+    """Whether two numbers o are of different components."""
+    return F.shiftrightunsigned(F.col(a).bitwiseXOR(F.col(b)), 32) != 0
 
 
 def _meetings(nodes: DataFrame, plan: Plan, first: int, many: int) -> tuple[DataFrame, DataFrame]:
-    """Where the balls of the blocks first, ..., first + many - 1 meet: pairs (a, b) that are alone at a variant, and all (variant, node) of the others.
+    """Where the balls of the blocks first, ..., first + many - 1 meet: pairs (oa, ob), and (variant, node, o) of the visitors of crowded variants.
 
-    nodes: node, bits, c. Variants whose visitors are all of one component c are left out.
+    nodes: as ``_named`` gives them. The pairs are of the smallest and the largest visitor of each
+    variant, so all there are where two meet. Variants with visitors of one component only are left
+    out: the order of o is first one of components.
     """
     masks = F.array(*(F.lit(m).cast("long") for m in [0, *(1 << k for k in range(plan.width))]))
-    values = _values(nodes, plan, first, many, "node", "c")
-    visits = values.select("node", "c", "token", F.explode(masks).alias("mask")).select("node", "c", F.col("token").bitwiseXOR(F.col("mask")).alias("token"))
-    met = visits.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.min("c").alias("c"), F.max("c").alias("d"), F.count(F.lit(1)).alias("n")).filter("n > 1 and c < d")
+    visits = _values(nodes, plan, first, many, "o").select("o", "token", F.explode(masks).alias("mask")).select("o", F.col("token").bitwiseXOR(F.col("mask")).alias("token"))
+    met = visits.groupBy("token").agg(F.min("o").alias("oa"), F.max("o").alias("ob"), F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & _apart("oa", "ob"))
     met = materialize(met, "variants")
     # A visitor of a crowded variant is found again from the variant: its ball is the variant's ball.
     crowd = met.filter("n > 2").select("token", F.explode(masks).alias("mask")).select(F.col("token").alias("variant"), F.col("token").bitwiseXOR(F.col("mask")).alias("token"))
-    of = materialize(crowd.join(values, "token").select("variant", "node"), "visits")
-    alone = materialize(met.filter("n = 2").select("a", "b").distinct(), "pairs")
+    of = materialize(crowd.join(_values(nodes, plan, first, many, "node", "o"), "token").select("variant", "node", "o"), "visits")
+    pairs = materialize(met.select("oa", "ob").distinct(), "pairs")
     discard(met)
-    return alone, of
+    return pairs, of
 
 
-def _stars(of: DataFrame, comp: DataFrame, pick) -> DataFrame:
-    """Pairs of visitors and their variant's hub, one of its visitors, in different components."""
-    hubs = materialize(of.groupBy("variant").agg(pick("node").alias("a")), "hubs")
-    pairs = of.join(hubs, "variant").filter("node <> a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-    return _with_component(_with_component(pairs, comp, "a", "ca"), comp, "b", "cb").filter("ca <> cb").select("a", "b")
+def _stars(pairs: DataFrame, of: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
+    """Close pairs (a, b): those that meet alone, and visitors with their variant's smallest and largest, in different components."""
+    ends = materialize(of.groupBy("variant").agg(F.min("o").alias("x"), F.max("o").alias("y")), "hubs")
+    star = of.join(ends, "variant").select("o", F.explode(F.filter(F.array("x", "y"), lambda h: F.shiftrightunsigned(h.bitwiseXOR(F.col("o")), 32) != 0)).alias("hub"))
+    pairs = pairs.unionByName(star.select(F.least("o", "hub").alias("oa"), F.greatest("o", "hub").alias("ob"))).distinct()
+    one = pairs.join(nodes.select(F.col("o").alias("oa"), F.col("node").alias("x"), F.col("bits").alias("bits_x")).hint("merge"), "oa")
+    both = one.join(nodes.select("o", "node", "bits").hint("merge"), (F.col("ob") == F.col("o")) & plan.close("bits_x", "bits"))
+    return both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
 
 
 def _between(of: DataFrame, nodes: DataFrame, comp: DataFrame, plan: Plan) -> DataFrame:
     """All close pairs of visitors of one variant that are in different components, each once."""
-    of = materialize(_with_component(of, comp, "node", "c").join(nodes.select("node", "bits").hint("merge"), "node"), "visits")
+    of = materialize(_with_component(of.select("variant", "node"), comp, "node", "c").join(nodes.select("node", "bits").hint("merge"), "node"), "visits")
     here = materialize(of.groupBy("variant", "c").agg(F.count(F.lit(1)).alias("m")), "meetings")
     # of two components at a variant the smaller one's members become rows, and find the larger one's in the join
     two = here.select("variant", F.struct("m", "c").alias("x")).join(here.select("variant", F.struct("m", "c").alias("y")), "variant").filter("x < y")
@@ -225,16 +245,14 @@ def _between(of: DataFrame, nodes: DataFrame, comp: DataFrame, plan: Plan) -> Da
 def similar_components(rows: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
     """(node, component) of the nodes that links reach. rows: RID and the text; nodes: node (a RID) and bits."""
     links = _verified(_close(_equal_blocks(nodes, plan), nodes, plan), rows, plan)
-    comp = connected_components(links)
-    now = materialize(_with_component(nodes.select("node", "bits"), comp, "node", "c"), "nodes")
+    now = materialize(_named(nodes, connected_components(links)), "nodes")
     spread = now.repartition(tasks_for(now.count(), SPREAD), "node")  # every row becomes hundreds
-    alone, of = zip(*(_meetings(spread, plan, k, min(AT_ONCE, plan.blocks - k)) for k in range(0, plan.blocks, AT_ONCE)), strict=True)
+    pairs, of = zip(*(_meetings(spread, plan, k, min(AT_ONCE, plan.blocks - k)) for k in range(0, plan.blocks, AT_ONCE)), strict=True)
     visits = reduce(DataFrame.unionByName, of)
-    pairs = reduce(DataFrame.unionByName, alone).unionByName(_stars(visits, comp, F.min)).unionByName(_stars(visits, comp, F.max))
-    links = links.unionByName(_verified(_close(pairs.distinct(), nodes, plan), rows, plan))
+    links = links.unionByName(_verified(_stars(reduce(DataFrame.unionByName, pairs), visits, now, plan), rows, plan))
     comp = connected_components(links)
     links = links.unionByName(_verified(_between(visits, nodes, comp, plan), rows, plan))
-    discard(now, *alone, *of)
+    discard(now, *pairs, *of)
     return connected_components(links)
 
 
@@ -251,6 +269,6 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = materialize(_with_component(groups, comp, "node", "component").select("key", "component"), "names")
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col(RID).alias("rid"))
     kept = sigs.select(RID, "id", "key").join(named, "key").groupBy("component").agg(F.min(first).alias("first")).select(F.col("first.rid").alias(RID))
-    kept = materialize(kept, "kept")
+    gone = materialize(sigs.select(RID).join(kept, RID, "left_anti"), "gone")  # fewer than those that stay
     discard(sigs, groups, nodes, named)
-    return rows.join(kept, RID, "left_semi").drop(RID)
+    return rows.join(gone, RID, "left_anti").drop(RID)

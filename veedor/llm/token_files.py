@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import MOST_TASKS, discard, file_system, materialize, scratch_path, small_batches, tasks_for
+from .common import MOST_TASKS, RID, discard, file_system, materialize, scratch_path, small_batches, stable_rows, tasks_for
 from .encoding import Encoder, shared_encoder, vocabulary_path
 
 SHARD_BYTES = 128 << 20  # of text; more where there would be more than MOST_TASKS shards
@@ -160,11 +160,7 @@ def _ordered(docs: DataFrame, id_col: str, text_col: str, order: str) -> DataFra
         docs = docs.select(key.alias("key"), text.alias("text"))
         none, rank = F.col("key").isNull(), F.coalesce("key", F.lit(0))
     else:
-        scan = docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
-        if not scan or not all("/part-" in f for f in docs.inputFiles()):  # rows get their places by being written
-            docs = materialize(docs.select(key.alias(id_col), text.alias(text_col)), "rows")
-        file, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
-        docs = docs.select(key.alias("key"), text.alias("text"), (F.shiftleft(F.regexp_extract(file, r"part-(\d+)", 1).cast("long"), 40) + row).alias("rank"))
+        docs = stable_rows(docs).select(key.alias("key"), text.alias("text"), F.col(RID).alias("rank"))
         none, rank = F.lit(False), F.col("rank")
     return docs.select("key", "text", none.alias("none"), rank.alias("rank"), F.xxhash64("text").alias("tie"), F.rand(7).alias("q"))
 
