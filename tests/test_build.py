@@ -35,7 +35,7 @@ def full(name, **values):
 CONTRACTS = [
     ("CON-001", "PROC-001", "Prestacion de Servicios", "Contratacion Directa", "NIT", "900111111", "$5,000,000", "Cundinamarca", "V1.80111600", "2022-01-15", "2022-01-20", "350 Dia(s)"),
     ("CON-002", "PROC-002", "Obra", "Licitacion Publica", "NIT", "900111111", "$8,000,000", "Antioquia", "V1.72101500", "2023-03-01", "2023-03-15", "12 Mes(es)"),
-    ("CON-003", "PROC-003", "Suministro", "Seleccion Abreviada", "CC", "12345678", "$450,000", "Bolivar", "V1.47101500", "2022-06-01", "2022-06-10", "204 Dia(s)"),
+    ("CON-003", "PROC-003", "Suministro", "Seleccion Abreviada", "CC", "23456709", "$450,000", "Bolivar", "V1.47101500", "2022-06-01", "2022-06-10", "204 Dia(s)"),
     ("CON-004", "PROC-004", "Consultoria", "Concurso de Meritos", "NIT", "800222222", "$3,000,000", "Valle del Cauca", "V1.80101600", "2021-08-20", "2021-09-01", "12 Mes(es)"),
     ("CON-005", "PROC-005", "Prestacion de Servicios", "Contratacion Directa", "NIT", "900333333", "$1,000,000", "Cundinamarca", "V1.80111600", "", "2022-01-10", "365 Dia(s)"),
 ]
@@ -50,12 +50,12 @@ def folder(tmp_path_factory):
     put("procesos", [full("procesos", **{"ID del Portafolio": "PROC-001", "Fecha de Publicacion del Proceso": "2022-01-01", "Fecha de Ultima Publicación": "2022-01-10", "Fecha de Recepcion de Respuestas": "2022-01-08", "Fecha Adjudicacion": "2022-01-12", "Respuestas al Procedimiento": "3", "Proveedores Unicos con Respuestas": "2"})])
     put("ofertas", [full("ofertas", **{"ID del Proceso de Compra": "PROC-001", "Valor de la Oferta": f"${v}"}) for v in (100, 200, 300, 400)])
     put("proveedores", [full("proveedores", NIT="900111111", **{"Fecha Creación": "01/01/2015"})])
-    put("boletines", [full("boletines", **{"tipo de documento": "CC", "numero de documento": "12345678"})])
+    put("boletines", [full("boletines", **{"tipo de documento": "CC", "numero de documento": "23456709"})])
     put("adiciones", [["A1", "CON-001", "ADICION EN EL VALOR", "", "2022-02-01"]])
-    put("resp_fiscales", [full("resp_fiscales", **{"Tipo y Num Docuemento": "43922546", "Responsable Fiscal": "MARIA"})])
+    put("resp_fiscales", [full("resp_fiscales", **{"Tipo y Num Docuemento": "51704388", "Responsable Fiscal": "LUCIA"})])
     put("colusiones", [full("colusiones", Identificacion="800222222", **{"Tipo de Persona Sancionada": "NIT"})])
-    write(root / "paco" / SPECS["siri"].file, None, [[*"abcd", "NIT", "900654321", *["x"] * 22]])
-    write(root / "paco" / SPECS["multas"].file, None, [[*"abcde", "87654321", "PEDRO", *["x"] * 8]])
+    write(root / "paco" / SPECS["siri"].file, None, [[*"abcd", "NIT", "900821640", *["x"] * 22]])
+    write(root / "paco" / SPECS["multas"].file, None, [[*"abcde", "70315562", "JORGE", *["x"] * 8]])
     return root
 
 

@@ -21,7 +21,7 @@ def test_oracles_agree_on_the_smallest_tables(spark):
     con = duckdb.connect()
     for t in ("nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
-    for name in ("asof_history_national", "bid_stats", "rule_scores", "threshold_calibration", "ranking_ndcg", "registry_union_dedupe", "graph_components"):
+    for name in ("asof_history_national", "bid_stats", "rule_scores", "threshold_calibration", "ranking_ndcg", "registry_union_dedupe", "upsample", "validated_merge", "decode_categories"):
         got = queries.QUERIES[name](spark, d)
         cols = sorted(got.columns)
         plain = lambda v: f"{v:.6g}" if isinstance(v, float) else str(v)

@@ -14,11 +14,11 @@ def check(spark, build, cases, kind="string"):
 
 
 def test_numbers_and_types(spark):
-    check(spark, identity.normalize_number, [("43.922.546", "43922546"), ("900123456-1", "9001234561"), ("CE 289910", "289910"), (None, "")])
+    check(spark, identity.normalize_number, [("51.704.388", "51704388"), ("900310257-1", "9003102571"), ("CE 289910", "289910"), (None, "")])
     check(spark, lambda c: identity.reject_reason(identity.normalize_number(c)), [("", "empty"), ("00", "all_zeros"), ("12", "too_short"), ("123", None), (None, "empty")])
     check(spark, identity.normalize_type, [("cc", "CC"), (" Cédula de Ciudadanía", "CC"), ("Persona Jurídica", "NIT"), ("PERSONA NATURAL", "CC"), ("cedula de extranjeria", "CE"), ("CE", "OTRO"), ("pasaporte", "PASAPORTE"), (None, "OTRO")])
-    check(spark, lambda c: identity.infer_type(c, F.lit("43922546")), [("MARIA GARCIA", "CC"), ("EMPRESA SAS", "NIT"), (None, "CC"), ("x S.A.", "NIT"), ("x SxA ", "CC")])
-    check(spark, lambda c: identity.infer_type(F.lit(None).cast("string"), c), [("900555123", "NIT"), ("12345678", "CC")])
+    check(spark, lambda c: identity.infer_type(c, F.lit("51704388")), [("LUCIA MORENO", "CC"), ("EMPRESA SAS", "NIT"), (None, "CC"), ("x S.A.", "NIT"), ("x SxA ", "CC")])
+    check(spark, lambda c: identity.infer_type(F.lit(None).cast("string"), c), [("900417306", "NIT"), ("23456709", "CC")])
 
 
 def test_money(spark):

@@ -71,7 +71,7 @@ def test_encoding_is_a_bijection_plus_other(spark):
     assert rows(out.select(encoding.code_lookup(F.col("c"), {"a": 1, "b": 2}))) == sorted([(1,), (0,), (None,), (2,)], key=str)
 
 
-BASE = {"has_process": True, "num_proponentes": 3, "n_segments": 1, "num_contratos_previos_nacional": 2, "modalidad": "Licitacion publica", "dias_publicidad_bruto": 5, "dias_decision_bruto": 10, "doc_type": "NIT", "doc_number": "900123456", "justificacion": "Por necesidad institucional", "valor_contrato": 1e7, "num_sobrecostos_previos": 0, "num_retrasos_previos": 0, "num_contratos_previos_nacional_p95": 3.0, "dias_publicidad_p99": 14.0, "dias_decision_p95": 43.0, "valor_contrato_p99": 2.2e8}
+BASE = {"has_process": True, "num_proponentes": 3, "n_segments": 1, "num_contratos_previos_nacional": 2, "modalidad": "Licitacion publica", "dias_publicidad_bruto": 5, "dias_decision_bruto": 10, "doc_type": "NIT", "doc_number": "900310257", "justificacion": "Por necesidad institucional", "valor_contrato": 1e7, "num_sobrecostos_previos": 0, "num_retrasos_previos": 0, "num_contratos_previos_nacional_p95": 3.0, "dias_publicidad_p99": 14.0, "dias_decision_p95": 43.0, "valor_contrato_p99": 2.2e8}
 KINDS = "has_process boolean, num_proponentes int, n_segments int, num_contratos_previos_nacional int, modalidad string, dias_publicidad_bruto int, dias_decision_bruto int, doc_type string, doc_number string, justificacion string, valor_contrato double, num_sobrecostos_previos int, num_retrasos_previos int, num_contratos_previos_nacional_p95 double, dias_publicidad_p99 double, dias_decision_p95 double, valor_contrato_p99 double"
 CASES = [
     ({}, {}),
@@ -109,26 +109,26 @@ def test_flags(spark):
 def test_registry_of_the_fixture(spark):
     make = lambda data, cols: spark.createDataFrame(data, ", ".join(f"`{c}` string" for c in cols))
     tables = {
-        "boletines": make([("CC", "12345678"), ("NIT", "900123456"), ("CC", "000000")], ["tipo de documento", "numero de documento"]),
-        "siri": make([("CEDULA DE CIUDADANIA", "12345678"), ("NIT", "900654321")], ["tipo_documento", "numero_documento"]),
-        "resp_fiscales": make([("43922546", "MARIA GARCIA"), ("900555123", "EMPRESA SAS")], ["Tipo y Num Docuemento", "Responsable Fiscal"]),
-        "multas": make([("87654321", "PEDRO RAMIREZ"), ("901234567", "CONSTRUCTORA LTDA")], ["col_5", "col_6"]),
-        "colusiones": make([("NIT", "800111222")], ["Tipo de Persona Sancionada", "Identificacion"]),
+        "boletines": make([("CC", "23456709"), ("NIT", "900310257"), ("CC", "000000")], ["tipo de documento", "numero de documento"]),
+        "siri": make([("CEDULA DE CIUDADANIA", "23456709"), ("NIT", "900821640")], ["tipo_documento", "numero_documento"]),
+        "resp_fiscales": make([("51704388", "LUCIA MORENO"), ("900417306", "EMPRESA SAS")], ["Tipo y Num Docuemento", "Responsable Fiscal"]),
+        "multas": make([("70315562", "JORGE ACOSTA"), ("901702845", "VIVEROS LTDA")], ["col_5", "col_6"]),
+        "colusiones": make([("NIT", "800230971")], ["Tipo de Persona Sancionada", "Identificacion"]),
     }
     known, rejected = registry.registry_from_tables(tables)
     assert known.count() == 8
-    both = known.filter("numero_documento = '12345678'").first()
+    both = known.filter("numero_documento = '23456709'").first()
     assert (both["en_boletines"], both["en_siri"], both["num_fuentes_distintas"]) == (True, True, 2)
     assert [r["reason"] for r in rejected.collect()] == ["all_zeros"]
-    probe = spark.createDataFrame([("cc", "12.345.678"), ("cc", "1")], "tipo string, numero string")
-    assert rows(registry.find_identities(known, probe).select("numero", "en_siri")) == [("1", None), ("12.345.678", True)]
+    probe = spark.createDataFrame([("cc", "23.456.709"), ("cc", "1")], "tipo string, numero string")
+    assert rows(registry.find_identities(known, probe).select("numero", "en_siri")) == [("1", None), ("23.456.709", True)]
 
 
 def test_labels_of_the_fixture(spark):
-    c = spark.createDataFrame([("1111", "NIT", "900111111", None, 0), ("1111", "NIT", "900111111", "5", 1), ("2222", "CC", "12345678", "", 2), ("3333", "NIT", None, "1,826", 3)], "`ID Contrato` string, TipoDocProveedor string, `Documento Proveedor` string, `Dias adicionados` string, ord int")
+    c = spark.createDataFrame([("1111", "NIT", "900111111", None, 0), ("1111", "NIT", "900111111", "5", 1), ("2222", "CC", "23456709", "", 2), ("3333", "NIT", None, "1,826", 3)], "`ID Contrato` string, TipoDocProveedor string, `Documento Proveedor` string, `Dias adicionados` string, ord int")
     a = spark.createDataFrame([("1111", "adicion en el valor "), ("2222", "EXTENSION"), ("1111", "MODIFICACION GENERAL"), ("9999", "ADICION EN EL VALOR")], "id_contrato string, tipo string")
-    b = spark.createDataFrame([("CC", "12345678"), ("NIT", "111222333")], "`tipo de documento` string, `numero de documento` string")
-    r = spark.createDataFrame([("CC", "12345678"), ("NIT", "999999999")], "tipo_documento string, numero_documento string")
+    b = spark.createDataFrame([("CC", "23456709"), ("NIT", "111222333")], "`tipo de documento` string, `numero de documento` string")
+    r = spark.createDataFrame([("CC", "23456709"), ("NIT", "999999999")], "tipo_documento string, numero_documento string")
     got = labels.build_labels(c, a, b, r)
     assert rows(got.select("id_contrato", "M1", "M2", "M3", "M4")) == [("1111", 1, 0, 0, 0), ("2222", 0, 1, 1, 1), ("3333", 0, 1, None, None)]
     assert labels.unknown_amendments(a, c).count() == 1

@@ -1,30 +1,29 @@
-"""One row per key, with a total order that names the winner; flags, lookups and orphans."""
+"""One row per key, with a total order that names the winner (nulls first going up, last going down); flags, lookups and orphans."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _cols(order: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in order]
+def _winner(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key. The planner keeps one row a key in every task before it shuffles, so a hot key is no large group."""
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("__rank", first).filter("__rank = 1").drop("__rank")
 
 
-def _winner(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], pick) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    # the struct keeps a winner whose own values are null; partial aggregation spares a hot key its sort
-    best = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*_cols(order))).alias("__row"))
-    return best.select(*keys, *(F.col("__row")[c].alias(c) for c in rest)).select(*df.columns)
+def _cols(order: Sequence[str | Column]) -> list[Column]:
+    return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    return _winner(df, keys, order, F.min_by)
+    return _winner(df, keys, [c.asc() for c in _cols(order)])
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    return _winner(df, keys, order, F.max_by)
+    return _winner(df, keys, [c.desc() for c in _cols(order)])
 
 
 def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], defaults: dict[str, object] | None = None) -> DataFrame:

@@ -15,10 +15,12 @@ from ..config import RuleSet
 from ..functions import dates, identity, money, text
 from . import bids, dedupe, encoding, flags, history, thresholds
 
+# --- fixed values: feature names in the order that models and artifacts have them ---
 CATEGORY_A = ("departamento_cat", "es_contratacion_directa", "es_regimen_especial", "es_servicios_profesionales", "modalidad_contratacion_cat", "origen_recursos_cat", "tiene_justificacion_modalidad", "tipo_contrato_cat", "unspsc_categoria", "valor_contrato")
 CATEGORY_B = ("dias_a_proxima_eleccion", "dias_decision", "dias_firma_a_inicio", "dias_proveedor_registrado", "dias_publicidad", "duracion_contrato_dias", "firma_posterior_a_inicio", "mes_firma", "trimestre_firma")
 CATEGORY_C = ("num_actividades_economicas", "num_contratos_previos_depto", "num_contratos_previos_nacional", "num_ofertas_recibidas", "num_proponentes", "num_retrasos_previos", "num_sobrecostos_previos", "proponente_unico", "tipo_persona_proveedor", "valor_total_contratos_previos_depto", "valor_total_contratos_previos_nacional")
 CATEGORY_D = ("iric_anomalias", "iric_competencia", "iric_score", "iric_transparencia", "ausencia_proceso", "contratacion_directa", "datos_faltantes", "historial_proveedor_alto", "periodo_decision_extremo", "periodo_publicidad_extremo", "proveedor_multiproposito", "proveedor_retrasos_previos", "proveedor_sobrecostos_previos", "regimen_especial", "unico_proponente")
+# --------------------------------------------------------------------------------
 FEATURES = CATEGORY_A + CATEGORY_B + CATEGORY_C + CATEGORY_D
 CODED = {"departamento_cat": "departamento", "modalidad_contratacion_cat": "modalidad", "origen_recursos_cat": "origen_recursos", "tipo_contrato_cat": "tipo_contrato", "unspsc_categoria": "segmento"}
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_name
+from .shared import checkpointed
+from .thresholds import with_group_median
 
 
 def nodes_of(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -69,28 +71,22 @@ def concentration(df: DataFrame, owner: str, member: str, value: str) -> DataFra
 
 
 def ratio_to_median(df: DataFrame, group: str, value: str) -> DataFrame:
-    middle = df.groupBy(group).agg(F.percentile(value, F.lit(0.5)).alias("__m"))
-    return df.join(middle, group).withColumn("ratio", F.try_divide(F.col(value), F.col("__m"))).drop("__m")
+    return with_group_median(df, group, value, "__m").withColumn("ratio", F.try_divide(F.col(value), F.col("__m"))).drop("__m")
 
 
-def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of (source, target) edges, by minimum labels with pointer jumping, until nothing changes."""
-    spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="veedor-"))
-    both = edges.select("source", "target").unionByName(edges.select(F.col("target").alias("source"), F.col("source").alias("target"))).filter("source is not null and target is not null").distinct().checkpoint()
-    now = both.select(F.col("source").alias("node")).distinct().withColumn("component", F.col("node")).checkpoint()
-    for _ in range(rounds):
+    both = edges.select("source", "target").unionByName(edges.select(F.col("target").alias("source"), F.col("source").alias("target"))).filter("source is not null and target is not null").distinct()
+    both = checkpointed(both)
+    now = checkpointed(both.select(F.col("source").alias("node")).distinct().withColumn("component", F.col("node")))
+    while True:
         near = both.join(now.select(F.col("node").alias("target"), F.col("component").alias("c")), "target").groupBy(F.col("source").alias("node")).agg(F.min("c").alias("c"))
         step = now.join(near, "node").select("node", F.least("component", "c").alias("component"))
-        jump = step.join(step.select(F.col("node").alias("component"), F.col("component").alias("up")), "component", "left").select("node", F.least("component", "up").alias("component")).checkpoint()
-        changed = jump.join(now.withColumnRenamed("component", "old"), "node").filter("component <> old").limit(1).count()
+        jump = checkpointed(step.join(step.select(F.col("node").alias("component"), F.col("component").alias("up")), "component", "left").select("node", F.least("component", "up").alias("component")))
+        settled = jump.join(now.withColumnRenamed("component", "old"), "node").filter("component <> old").isEmpty()
         now = jump
-        if not changed:
-            break
-    return now
+        if settled:
+            return now
 
 
 def community_features(members: DataFrame, values: DataFrame, value: str) -> DataFrame:

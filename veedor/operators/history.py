@@ -36,11 +36,10 @@ def probe_history(probes: DataFrame, rows: DataFrame, keys: Sequence[str], day:
     Rows and probes go through one window over the union of their days instead of a range join.
     """
     names = (count, *sums)
-    daily = rows.filter(F.col(day).isNotNull()).groupBy(*keys, day).agg(F.count(F.lit(1)).cast("double").alias(count), *(F.coalesce(F.sum(c).cast("double"), F.lit(0.0)).alias(n) for n, c in sums.items()))
-    marks = probes.select(*keys, day).distinct().select(*keys, day, *(F.lit(0.0).alias(n) for n in names))
-    days = daily.unionByName(marks).groupBy(*keys, day).agg(*(F.sum(n).alias(n) for n in names))
+    daily = rows.filter(F.col(day).isNotNull()).groupBy(*keys, day).agg(F.count(F.lit(1)).alias(count), *(F.sum(c).alias(n) for n, c in sums.items()))
+    days = daily.unionByName(probes.select(*keys, day).distinct(), allowMissingColumns=True).groupBy(*keys, day).agg(*(F.sum(n).alias(n) for n in names))
     before = Window.partitionBy(*keys).orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
-    past = days.select(*keys, day, *(F.coalesce(F.sum(n).over(before), F.lit(0.0)).alias(n) for n in names)).withColumn(count, F.col(count).cast("long"))
+    past = days.select(*keys, day, *(F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in names))
     out = probes.join(past, [*keys, day], "left")
     return out.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in names})
 

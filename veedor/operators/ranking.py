@@ -1,8 +1,8 @@
 """Ranking, curve, threshold and calibration metrics as aggregates.
 
 Positions of all rows by score would need one ordered pass in one task. Rows are first summed per
-distinct score, so the ordered pass has a row per score; only metrics of the top k rank rows, and
-these are at most k.
+distinct score and then over the scores in two levels; only metrics of the top k rank rows, and these
+are at most k.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+STRETCHES = 64  # of the score range, summed apart
 THRESHOLDS = tuple(round(0.05 * i, 2) for i in range(1, 20))
 
 
@@ -49,10 +50,26 @@ def _by_score(df: DataFrame, score: str, label: str) -> DataFrame:
     return df.groupBy(F.col(score).alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("p"))
 
 
+def _running(by: DataFrame, sums: dict[str, str], best_first: bool) -> DataFrame:
+    """by (a row per distinct score s) with running sums over the scores, output name to column.
+
+    In two levels: within stretches of the score range that approximate percentiles cut out, and over
+    the totals of these, so that any number of distinct scores is summed in many tasks.
+    """
+    cuts = by.agg(F.percentile_approx("s", [i / STRETCHES for i in range(1, STRETCHES)], 10 * STRETCHES).alias("edges"))
+    part = F.size(F.filter("edges", lambda e: e < F.col("s"))) * (-1 if best_first else 1)
+    placed = by.crossJoin(F.broadcast(cuts)).withColumn("part", part).drop("edges")  # one row
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over STRETCHES rows
+    totals = placed.groupBy("part").agg(*(F.sum(c).alias(f"__{n}") for n, c in sums.items()))
+    totals = totals.select("part", *(F.coalesce(F.sum(f"__{n}").over(earlier), F.lit(0)).alias(f"__{n}") for n in sums))
+    here = Window.partitionBy("part").orderBy(F.desc("s") if best_first else F.asc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    out = placed.join(F.broadcast(totals), "part")
+    return out.select(*by.columns, *((F.sum(c).over(here) + F.col(f"__{n}")).alias(n) for n, c in sums.items()))
+
+
 def _upto(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score, best first: n, p and their sums so far (tn, tp)."""
-    w = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    return _by_score(df, score, label).withColumns({"tn": F.sum("n").over(w), "tp": F.sum("p").over(w)})
+    return _running(_by_score(df, score, label), {"tn": "n", "tp": "p"}, True)
 
 
 def ndcg(df: DataFrame, score: str, label: str, id_col: str, ks: Sequence[int] = (100, 500, 1000)) -> DataFrame:
@@ -73,8 +90,7 @@ def ndcg(df: DataFrame, score: str, label: str, id_col: str, ks: Sequence[int] =
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """(auc) by rank sums, ties averaged; null unless both classes occur."""
-    w = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = _by_score(df, score, label).withColumn("upto", F.sum("n").over(w)).withColumn("rank", F.col("upto") - (F.col("n") - 1) / 2.0)
+    ranks = _running(_by_score(df, score, label), {"upto": "n"}, False).withColumn("rank", F.col("upto") - (F.col("n") - 1) / 2.0)
     pos, neg = F.sum("p"), F.sum(F.col("n") - F.col("p"))
     return ranks.agg(F.try_divide(F.sum(F.col("rank") * F.col("p")) - pos * (pos + 1) / 2.0, pos * neg).alias("auc"))
 

@@ -35,8 +35,8 @@ class ArtifactStore:
         return self.read(name) if not force and self.exists(name) else self.write(name, build())
 
     def write_csv(self, name: str, df: DataFrame) -> str:
-        """One file with a header, for small results."""
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(self.path(name))
+        """A folder of files with headers."""
+        df.write.mode("overwrite").option("header", True).csv(self.path(name))
         return self.path(name)
 
     def write_json(self, name: str, value: object) -> str:
