@@ -32,7 +32,7 @@ from .common import RID, discard, materialize, n_words, stable_rows, tasks_for
 BLOCK = 256  # words of a slot at most, and more than half of it unless the mix is tiny
 MOST_BITS = 32  # of a slot's number: with more words than this many blocks hold, blocks grow
 CHUNK = 1 << 15  # slots that one row of the schedule unfolds to
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000  # few, so that the buckets of a source with a third of all rows spread evenly over tasks
 PART_WORDS = 4 << 20  # of one task of the mixed documents
 HOT_KEYS = 1000  # at most so many keys have buckets of their own
 
