@@ -7,9 +7,10 @@ is done block by block: every block emits itself and its variants with one bit f
 blocks meet at a variant exactly if they differ in two bits at most. A block is eight bits wider than
 the number of documents in binary, so that a document meets a bounded number of others by chance
 however many there are, and there are as many blocks as give a pair at the similarity a chance of
-``recall`` to meet. Pairs that meet are first compared by all their bits, inside the join, so that
-only close pairs ever become rows; three standard deviations are allowed, which one similar pair in
-800 exceeds. Then they are compared by their whole sets.
+``recall`` to meet. Pairs that meet are first compared by their bits, inside the join, so that only
+close pairs ever become rows: those of the many balls by 128 bits, and what these leave by all bits.
+Three standard deviations are allowed (five of the 128 bits), which one similar pair in 800 exceeds.
+Then they are compared by their whole sets.
 
 1. Copies collapse to one set. Documents with an equal block are compared with four of them, the
    smallest by their numbers and by three other orders: large groups become connected here, at a few
@@ -44,6 +45,7 @@ from .components import connected_components
 RECALL = 0.95  # of pairs at the similarity itself; more similar ones meet more surely
 AT_ONCE = 2  # blocks whose balls are shuffled together
 CHECK = 8  # further 64 bits of a fingerprint, in no block
+PEEK = 2  # of those, what pairs that meet by chance carry through a shuffle before the rest
 ORDERS = (0, (1 << 62) - 1, 0x2545F4914F6CDD1D, 0x1B873593CC9E2D51)  # a number with these bits flipped: four orders of numbers
 SPREAD = 8192  # documents whose balls one task emits
 _CHUNK = 4096  # shingles whose bits are counted at once
@@ -139,6 +141,12 @@ class Plan:
         differ = sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(CHECK + self.blocks)), F.lit(0))
         return differ <= math.ceil(n * p + 3 * math.sqrt(n * p * (1 - p)))
 
+    def alike(self, a: str, b: str) -> Column:
+        """Whether the first ``PEEK`` 64 bits of two columns of bits look close: five standard deviations are allowed, so it leaves what ``close`` finds."""
+        n, p = 64 * PEEK, bit_difference(self.percent / 100)
+        differ = sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(PEEK)), F.lit(0))
+        return differ <= math.ceil(n * p + 5 * math.sqrt(n * p * (1 - p)))
+
     def meet_first(self, a: str, b: str, variant: Column) -> Column:
         """Whether of all variants at which the balls of two columns of bits meet this is the one that counts: in the first such block, the smaller."""
         pos = F.shiftrightunsigned(variant, self.width).cast("int")
@@ -226,9 +234,10 @@ def _stars(pairs: DataFrame, of: DataFrame, nodes: DataFrame, plan: Plan) -> Dat
     ends = materialize(of.groupBy("variant").agg(F.min("o").alias("x"), F.max("o").alias("y")), "hubs")
     star = of.join(ends, "variant").select("o", F.explode(F.filter(F.array("x", "y"), lambda h: F.shiftrightunsigned(h.bitwiseXOR(F.col("o")), 32) != 0)).alias("hub"))
     pairs = pairs.unionByName(star.select(F.least("o", "hub").alias("oa"), F.greatest("o", "hub").alias("ob"))).distinct()
-    one = pairs.join(nodes.select(F.col("o").alias("oa"), F.col("node").alias("x"), F.col("bits").alias("bits_x")).hint("merge"), "oa")
-    both = one.join(nodes.select("o", "node", "bits").hint("merge"), (F.col("ob") == F.col("o")) & plan.close("bits_x", "bits"))
-    return both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+    peek = nodes.select("o", "node", F.slice("bits", 1, PEEK).alias("bits"))
+    one = pairs.join(peek.select(F.col("o").alias("oa"), F.col("node").alias("x"), F.col("bits").alias("bits_x")).hint("merge"), "oa")
+    both = one.join(peek.hint("merge"), (F.col("ob") == F.col("o")) & plan.alike("bits_x", "bits"))
+    return _close(both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct(), nodes, plan)
 
 
 def _between(of: DataFrame, nodes: DataFrame, comp: DataFrame, plan: Plan) -> DataFrame:
