@@ -83,7 +83,7 @@ def test_pairs_that_balls_must_meet_at(spark):
             rows.append((10 * k + i, [2**62 - 1 if i == 7 else 0] * near_copies.CHECK + [c ^ sum(1 << b for b in rng.sample(range(width), rng.randint(0, 2))) for c in center], 10 * k + i % 3))
     comp = spark.createDataFrame([(n, c) for n, _, c in rows], "node long, component long")
     nodes = near_copies._named(spark.createDataFrame([r[:2] for r in rows], "node long, bits array<long>"), comp)
-    pairs, of = near_copies._meetings(nodes, plan, 0, 2)
+    pairs, of = near_copies._meetings(near_copies._classes(nodes, plan), plan, 0, 2, 3)
     got = near_copies._stars(pairs, of, nodes, plan).collect()
     component = {n: c for n, _, c in rows}
     assert all(component[r["a"]] != component[r["b"]] for r in got)

@@ -15,10 +15,11 @@ Then they are compared by their whole sets.
 1. Copies collapse to one set. Documents with an equal block are compared with four of them, the
    smallest by their numbers and by three other orders: large groups become connected here, at a few
    comparisons a member.
-2. All blocks emit their balls, a few blocks at a time. Only variants with visitors of different
-   components are kept. Visitors are compared with the smallest and the largest one there; then all
-   pairs between what are still different components are compared. A pair that connects nothing new
-   is never formed, one that could is never left out.
+2. Documents with an equal block are one class, which emits its ball once, a few blocks at a time: a
+   variant then has no more visitors than a ball has members, however large a group is. Only variants
+   with visitors of different components are kept. The ends of the classes are compared with the
+   smallest and the largest visitor there; then all pairs between what are still different components
+   are compared. A pair that connects nothing new is never formed, one that could is never left out.
 3. Components of the verified links; of each, the document with the smallest id stays.
 
 Sets are of 64-bit hashes. Texts of fewer words than a shingle are one shingle. Null and empty texts
@@ -210,58 +211,120 @@ def _apart(a: str, b: str) -> Column:
     return F.shiftrightunsigned(F.col(a).bitwiseXOR(F.col(b)), 32) != 0
 
 
-def _meetings(nodes: DataFrame, plan: Plan, first: int, many: int) -> tuple[DataFrame, DataFrame]:
-    """Where the balls of the blocks first, ..., first + many - 1 meet: pairs (oa, ob), and (variant, node, o) of the visitors of crowded variants.
+def _masks(plan: Plan) -> Column:
+    """What turns a block into the members of its ball: no bit flipped, or one."""
+    return F.array(*(F.lit(m).cast("long") for m in [0, *(1 << k for k in range(plan.width))]))
 
-    nodes: as ``_named`` gives them. The pairs are of the smallest and the largest visitor of each
-    variant, so all there are where two meet. Variants with visitors of one component only are left
-    out: the order of o is first one of components.
+
+def _classes(nodes: DataFrame, plan: Plan) -> DataFrame:
+    """Of each token: its number of nodes, and the smallest and largest o of them. nodes: as ``_named`` gives them."""
+    tokens = _values(nodes, plan, 0, plan.blocks, "o")
+    return materialize(tokens.groupBy("token").agg(F.min("o").alias("lo"), F.max("o").alias("hi"), F.count(F.lit(1)).alias("m")), "classes")
+
+
+def _meetings(classes: DataFrame, plan: Plan, first: int, many: int, tasks: int) -> tuple[DataFrame, DataFrame]:
+    """Where the balls of the blocks first, ..., first + many - 1 meet: pairs (oa, ob), and (variant, token, lo, hi) of the classes at crowded variants.
+
+    The pairs are of the smallest and the largest visitor of each variant, so all there are where two
+    meet. Variants with visitors of one component only are left out: the order of o is first one of
+    components. A variant has no more classes than a ball has members.
     """
-    masks = F.array(*(F.lit(m).cast("long") for m in [0, *(1 << k for k in range(plan.width))]))
-    visits = _values(nodes, plan, first, many, "o").select("o", "token", F.explode(masks).alias("mask")).select("o", F.col("token").bitwiseXOR(F.col("mask")).alias("token"))
-    met = visits.groupBy("token").agg(F.min("o").alias("oa"), F.max("o").alias("ob"), F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & _apart("oa", "ob"))
+    masks, block = _masks(plan), F.shiftrightunsigned("token", plan.width)
+    here = classes.filter((block >= first) & (block < first + many))
+    spread = here.repartition(tasks, "token")  # every row becomes a ball
+    visits = spread.select("lo", "hi", "m", "token", F.explode(masks).alias("mask")).select("lo", "hi", "m", F.col("token").bitwiseXOR(F.col("mask")).alias("token"))
+    met = visits.groupBy("token").agg(F.min("lo").alias("oa"), F.max("hi").alias("ob"), F.sum("m").alias("n")).filter((F.col("n") > 1) & _apart("oa", "ob"))
     met = materialize(met, "variants")
     # A visitor of a crowded variant is found again from the variant: its ball is the variant's ball.
     crowd = met.filter("n > 2").select("token", F.explode(masks).alias("mask")).select(F.col("token").alias("variant"), F.col("token").bitwiseXOR(F.col("mask")).alias("token"))
-    of = materialize(crowd.join(_values(nodes, plan, first, many, "node", "o"), "token").select("variant", "node", "o"), "visits")
+    of = materialize(crowd.join(here.select("token", "lo", "hi"), "token").select("variant", "token", "lo", "hi"), "visits")
     pairs = materialize(met.select("oa", "ob").distinct(), "pairs")
     discard(met)
     return pairs, of
 
 
 def _stars(pairs: DataFrame, of: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
-    """Close pairs (a, b): those that meet alone, and visitors with their variant's smallest and largest, in different components."""
-    ends = materialize(of.groupBy("variant").agg(F.min("o").alias("x"), F.max("o").alias("y")), "hubs")
-    star = of.join(ends, "variant").select("o", F.explode(F.filter(F.array("x", "y"), lambda h: F.shiftrightunsigned(h.bitwiseXOR(F.col("o")), 32) != 0)).alias("hub"))
-    pairs = pairs.unionByName(star.select(F.least("o", "hub").alias("oa"), F.greatest("o", "hub").alias("ob"))).distinct()
+    """Close pairs (a, b): those that meet alone, and the ends of classes with their variant's smallest and largest, in different components."""
+    ends = materialize(of.groupBy("variant").agg(F.min("lo").alias("x"), F.max("hi").alias("y")), "hubs")
+    both = F.array(*(F.struct(F.col(o).alias("o"), F.col(h).alias("hub")) for o in ("lo", "hi") for h in ("x", "y")))
+    star = of.join(ends, "variant").select(F.explode(F.array_distinct(F.filter(both, lambda p: F.shiftrightunsigned(p["o"].bitwiseXOR(p["hub"]), 32) != 0))).alias("p"))
+    pairs = pairs.unionByName(star.select(F.least("p.o", "p.hub").alias("oa"), F.greatest("p.o", "p.hub").alias("ob"))).distinct()
     peek = nodes.select("o", "node", F.slice("bits", 1, PEEK).alias("bits"))
     one = pairs.join(peek.select(F.col("o").alias("oa"), F.col("node").alias("x"), F.col("bits").alias("bits_x")).hint("merge"), "oa")
     both = one.join(peek.hint("merge"), (F.col("ob") == F.col("o")) & plan.alike("bits_x", "bits"))
     return _close(both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct(), nodes, plan)
 
 
+def _members(of: DataFrame, nodes: DataFrame, comp: DataFrame, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """The classes at crowded variants, as (token, m, d, md): nodes, largest component, nodes of it; and their nodes (token, node, c, m, top, bits)."""
+    seen = materialize(of.select("token").distinct(), "tokens")
+    lean = _with_component(_values(nodes, plan, 0, plan.blocks, "node").join(seen, "token", "left_semi"), comp, "node", "c")
+    lean = materialize(lean, "lean")
+    most = F.max(F.struct("k", "c"))
+    classes = lean.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("m"), most.alias("top"))
+    classes = materialize(classes.select("token", "m", F.col("top.c").alias("d"), F.col("top.k").alias("md")), "classes")
+    of_class = lean.join(classes, "token").select("token", "node", "c", "m", (F.col("c") == F.col("d")).alias("top"))
+    members = materialize(of_class.join(nodes.select("node", "bits").hint("merge"), "node"), "members")
+    discard(seen, lean)
+    return classes, members
+
+
+def _parts(of: DataFrame, classes: DataFrame, plan: Plan) -> DataFrame:
+    """What is to be compared where a class of several nodes takes part: (variant, p, p_top, q, q_top), the smaller part first.
+
+    A class has two parts, the nodes of its largest component and all others, so that classes that are
+    nearly one component meet without comparing it with itself. Two classes count at one of the two
+    variants where they meet.
+    """
+    at = materialize(of.select("variant", "token").join(classes, "token"), "at")
+    names = ("token", "m", "d", "md")
+    x, y = (at.select(F.col("variant").alias(f"v{k}"), *(F.col(n).alias(f"{n}{k}") for n in names)) for k in "xy")
+    differ = F.col("tokenx").bitwiseXOR(F.col("tokeny"))
+    low = differ.bitwiseAND(-differ)
+    counts = F.least(F.col("tokenx").bitwiseXOR(low), F.col("tokeny").bitwiseXOR(low)) == F.col("vx")
+    once = F.when(F.col("my") > 1, F.col("tokenx") < F.col("tokeny")).otherwise(F.col("tokenx") != F.col("tokeny"))
+    one = (F.col("dx") == F.col("dy")) & (F.col("mdx") == F.col("mx")) & (F.col("mdy") == F.col("my"))
+    two = x.filter("mx > 1").join(y, (F.col("vx") == F.col("vy")) & once & counts & ~one)
+
+    def pair(a: bool, b: bool) -> Column:
+        na, nb = (F.col(f"md{k}") if top else F.col(f"m{k}") - F.col(f"md{k}") for k, top in (("x", a), ("y", b)))
+        forth, back = (F.struct(F.col(f"token{k}").alias("p"), F.lit(s).alias("p_top"), F.col(f"token{j}").alias("q"), F.lit(t).alias("q_top")) for k, s, j, t in (("x", a, "y", b), ("y", b, "x", a)))
+        needed = (F.col("dx") != F.col("dy")) if a and b else (na > 0) & (nb > 0)
+        return F.when(needed, F.when(na <= nb, forth).otherwise(back))
+
+    parts = two.select(F.col("vx").alias("variant"), F.explode(F.array_compact(F.array(*(pair(a, b) for a in (True, False) for b in (True, False))))).alias("z")).select("variant", "z.*")
+    within = classes.filter("md < m").select(F.col("token").alias("variant"), F.col("token").alias("p"), F.lit(False).alias("p_top"), F.col("token").alias("q"), F.explode(F.array(F.lit(True), F.lit(False))).alias("q_top"))
+    return parts.unionByName(within)
+
+
 def _between(of: DataFrame, nodes: DataFrame, comp: DataFrame, plan: Plan) -> DataFrame:
     """All close pairs of visitors of one variant that are in different components, each once."""
-    of = materialize(_with_component(of.select("variant", "node"), comp, "node", "c").join(nodes.select("node", "bits").hint("merge"), "node"), "visits")
-    here = materialize(of.groupBy("variant", "c").agg(F.count(F.lit(1)).alias("m")), "meetings")
-    # of two components at a variant the smaller one's members become rows, and find the larger one's in the join
-    two = here.select("variant", F.struct("m", "c").alias("x")).join(here.select("variant", F.struct("m", "c").alias("y")), "variant").filter("x < y")
-    one = two.select("variant", F.col("x.c").alias("c"), F.col("y.c").alias("c2")).join(of, ["variant", "c"]).select(F.col("variant").alias("v"), "c2", F.col("node").alias("x"), F.col("bits").alias("bits_x"))
-    both = one.join(of, (F.col("v") == F.col("variant")) & (F.col("c2") == F.col("c")) & plan.meet_first("bits_x", "bits", F.col("variant")) & plan.close("bits_x", "bits"))
-    return both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+    classes, members = _members(of, nodes, comp, plan)
+    alone = materialize(of.select("variant", "token").join(members.filter("m = 1").select("token", "node", "c", "bits"), "token").select("variant", "node", "c", "bits"), "alone")
+    x = alone.select(F.col("variant").alias("v"), F.col("node").alias("x"), F.col("c").alias("cx"), F.col("bits").alias("bits_x"))
+    close = (F.col("cx") != F.col("c")) & plan.meet_first("bits_x", "bits", F.col("v")) & plan.close("bits_x", "bits")
+    pairs = x.join(alone, (F.col("v") == F.col("variant")) & (F.col("x") < F.col("node")) & close).select("x", "node")
+    parts = materialize(_parts(of, classes, plan), "parts")
+    one = parts.withColumnRenamed("variant", "v").join(
+        members.select(F.col("token").alias("p"), F.col("top").alias("p_top"), F.col("node").alias("x"), F.col("c").alias("cx"), F.col("bits").alias("bits_x")), ["p", "p_top"]
+    )
+    both = (F.col("q") == F.col("token")) & (F.col("q_top") == F.col("top"))
+    twice = (F.col("p") == F.col("q")) & (F.col("p_top") == F.col("q_top")) & (F.col("x") >= F.col("node"))
+    more = one.join(members.select("token", "top", "node", "c", "bits"), both & ~twice & close).select("x", "node")
+    return pairs.unionByName(more).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
 
 
 def similar_components(rows: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
     """(node, component) of the nodes that links reach. rows: RID and the text; nodes: node (a RID) and bits."""
     links = _verified(_close(_equal_blocks(nodes, plan), nodes, plan), rows, plan)
     now = materialize(_named(nodes, connected_components(links)), "nodes")
-    spread = now.repartition(tasks_for(now.count(), SPREAD), "node")  # every row becomes hundreds
-    pairs, of = zip(*(_meetings(spread, plan, k, min(AT_ONCE, plan.blocks - k)) for k in range(0, plan.blocks, AT_ONCE)), strict=True)
+    classes, tasks = _classes(now, plan), tasks_for(now.count(), SPREAD)
+    pairs, of = zip(*(_meetings(classes, plan, k, min(AT_ONCE, plan.blocks - k), tasks) for k in range(0, plan.blocks, AT_ONCE)), strict=True)
     visits = reduce(DataFrame.unionByName, of)
     links = links.unionByName(_verified(_stars(reduce(DataFrame.unionByName, pairs), visits, now, plan), rows, plan))
     comp = connected_components(links)
     links = links.unionByName(_verified(_between(visits, nodes, comp, plan), rows, plan))
-    discard(now, *pairs, *of)
+    discard(now, classes, *pairs, *of)
     return connected_components(links)
 
 
