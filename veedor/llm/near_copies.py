@@ -211,9 +211,9 @@ def _apart(a: str, b: str) -> Column:
     return F.shiftrightunsigned(F.col(a).bitwiseXOR(F.col(b)), 32) != 0
 
 
-def _masks(plan: Plan) -> Column:
+def _masks(plan: Plan) -> list[int]:
     """What turns a block into the members of its ball: no bit flipped, or one."""
-    return F.array(*(F.lit(m).cast("long") for m in [0, *(1 << k for k in range(plan.width))]))
+    return [0, *(1 << k for k in range(plan.width))]
 
 
 def _classes(nodes: DataFrame, plan: Plan) -> DataFrame:
@@ -229,18 +229,22 @@ def _meetings(classes: DataFrame, plan: Plan, first: int, many: int, tasks: int)
     meet. Variants with visitors of one component only are left out: the order of o is first one of
     components. A variant has no more classes than a ball has members.
     """
-    masks, block = _masks(plan), F.shiftrightunsigned("token", plan.width)
+    block = F.shiftrightunsigned("token", plan.width)
     here = classes.filter((block >= first) & (block < first + many))
-    spread = here.repartition(tasks, "token")  # every row becomes a ball
-    visits = spread.select("lo", "hi", "m", "token", F.explode(masks).alias("mask")).select("lo", "hi", "m", F.col("token").bitwiseXOR(F.col("mask")).alias("token"))
-    met = visits.groupBy("token").agg(F.min("lo").alias("oa"), F.max("hi").alias("ob"), F.sum("m").alias("n")).filter((F.col("n") > 1) & _apart("oa", "ob"))
-    met = materialize(met, "variants")
-    # A visitor of a crowded variant is found again from the variant: its ball is the variant's ball.
-    crowd = met.filter("n > 2").select("token", F.explode(masks).alias("mask")).select(F.col("token").alias("variant"), F.col("token").bitwiseXOR(F.col("mask")).alias("token"))
-    of = materialize(crowd.join(here.select("token", "lo", "hi"), "token").select("variant", "token", "lo", "hi"), "visits")
-    pairs = materialize(met.select("oa", "ob").distinct(), "pairs")
-    discard(met)
-    return pairs, of
+    # A visit tells its visitor by one bit, for the place that is flipped; a class of several components visits itself once more.
+    ball = F.array(*(F.struct(F.lit(m).cast("long").alias("mask"), F.lit(1 << k).cast("long").alias("bit")) for k, m in enumerate(_masks(plan))))
+    again = F.when((F.col("flip.mask") == 0) & _apart("lo", "hi"), F.lit(1 << plan.width + 1)).otherwise(F.lit(0)).cast("long")
+    spread = here.select("token", "lo", "hi").repartition(tasks, "token")  # every row becomes a ball
+    visits = spread.select("token", "lo", "hi", F.explode(ball).alias("flip")).select(F.col("token").bitwiseXOR(F.col("flip.mask")).alias("variant"), F.col("flip.bit").bitwiseOR(again).alias("who"))
+    met = materialize(visits.groupBy("variant").agg(F.bit_or("who").alias("who")).filter(F.bit_count("who") > 1), "variants")
+    visitors = met.select("variant", F.explode(F.filter(ball, lambda f: F.col("who").bitwiseAND(f["bit"]) != 0)).alias("flip"))
+    of = materialize(visitors.select("variant", F.col("variant").bitwiseXOR(F.col("flip.mask")).alias("token")).join(here, "token"), "visits")
+    ends = of.groupBy("variant").agg(F.min("lo").alias("oa"), F.max("hi").alias("ob"), F.sum("m").alias("n")).filter(_apart("oa", "ob"))
+    ends = materialize(ends, "ends")
+    crowded = materialize(of.join(ends.filter("n > 2").select("variant"), "variant", "left_semi").select("variant", "token", "lo", "hi"), "crowded")
+    pairs = materialize(ends.select("oa", "ob").distinct(), "pairs")
+    discard(met, of, ends)
+    return pairs, crowded
 
 
 def _stars(pairs: DataFrame, of: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
