@@ -94,6 +94,29 @@ def test_pairs_that_balls_must_meet_at(spark):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_pairs_below_the_similarity_are_told_by_parities(spark):
+    """A family of texts at all similarities to each other: no similar pair is lost, and hardly another becomes a row."""
+    rng = random.Random(8)
+    base, rows = words(rng, 120), [(0, None), (1, "")]
+    for i in range(2, 90):
+        text = list(base)
+        for k in rng.sample(range(120), i % 6):
+            text[k] = words(rng, 1)[0]
+        rows.append((i, " ".join(text)))
+    plan = near_copies.Plan(16, 11, 80)
+    sigs = near_copies._signatures(spark.createDataFrame(rows, f"{near_copies.RID} long, text string").withColumn("doc_id", F.col(near_copies.RID)), "doc_id", plan)
+    nodes = sigs.filter("n > 0").select(F.col(near_copies.RID).alias("node"), "bits")
+    pairs = nodes.select(F.col("node").alias("a")).join(nodes.select(F.col("node").alias("b")), F.col("a") < F.col("b"))
+    got = {(r["a"], r["b"]) for r in near_copies._close(pairs, nodes, plan).collect()}
+    sets = {i: grams(t) for i, t in rows if t}
+    want = {(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert len(got & want) >= 0.99 * len(want) and len(got - want) <= 0.1 * len(want)
+    for a, b in want:
+        x, y = (near_copies.bin_parities(near_copies.shingle_set(dict(rows)[k].encode())) for k in (a, b))
+        assert 9 * (x ^ y).sum() <= len(sets[a]) + len(sets[b])
+    assert not near_copies.bin_parities(near_copies.shingle_set(None)).any()
+
+
 def test_layout_keeps_its_promise():
     rng = np.random.default_rng(4)
     for n in (100, 50_000, 10**9):

@@ -10,7 +10,9 @@ however many there are, and there are as many blocks as give a pair at the simil
 ``recall`` to meet. Pairs that meet are first compared by their bits, inside the join, so that only
 close pairs ever become rows: those of the many balls by 128 bits, and what these leave by all bits.
 Three standard deviations are allowed (five of the 128 bits), which one similar pair in 800 exceeds.
-Then they are compared by their whole sets.
+With the bits goes the parity of the hashes in each of 512 bins: what only one set has turns one
+parity, so sets differ in no fewer hashes than parities, and pairs with too many different parities
+for the similarity are no links, for certain. Then they are compared by their whole sets.
 
 1. Copies collapse to one set. Documents with an equal block are compared with four of them, the
    smallest by their numbers and by three other orders: large groups become connected here, at a few
@@ -30,7 +32,7 @@ of equal sets, and of equal ids the first row stays. Other columns are kept as t
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -45,7 +47,9 @@ from .components import connected_components
 
 RECALL = 0.95  # of pairs at the similarity itself; more similar ones meet more surely
 AT_ONCE = 2  # blocks whose balls are shuffled together
-CHECK = 8  # further 64 bits of a fingerprint, in no block
+SIGNS = 8  # further 64 bits of a fingerprint, in no block
+PARITY = 8  # 64 bins of hashes, of which the parity is kept
+CHECK = SIGNS + PARITY + 1  # numbers before the blocks: those, and the set's size
 PEEK = 2  # of those, what pairs that meet by chance carry through a shuffle before the rest
 ORDERS = (0, (1 << 62) - 1, 0x2545F4914F6CDD1D, 0x1B873593CC9E2D51)  # a number with these bits flipped: four orders of numbers
 SPREAD = 8192  # documents whose balls one task emits
@@ -92,13 +96,19 @@ def fingerprint_bits(hashes: np.ndarray, n_bits: int) -> np.ndarray:
     return (2 * ones > len(hashes))[:n_bits]
 
 
+def bin_parities(hashes: np.ndarray) -> np.ndarray:
+    """For each of the bins of distinct hashes, whether it holds an odd number of them."""
+    bins = (hashes.view(np.uint64) % np.uint64(64 * PARITY)).astype(np.int64)
+    return np.bincount(bins, minlength=64 * PARITY) % 2 == 1
+
+
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     offsets = np.cumsum([0, *map(len, parts)], dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int64), *parts])))
 
 
 def _signatures(rows: DataFrame, id_col: str, plan: Plan) -> DataFrame:
-    """RID, id, ``key`` (equal for equal sets), ``n`` (the set's size) and ``bits``: the bits in no block, 64 at a time, then the blocks."""
+    """RID, id, ``key`` (equal for equal sets), ``n`` (the set's size) and ``bits``: the bits in no block and the parities, 64 at a time, the set's size, then the blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width, blocks = plan.width, plan.blocks
@@ -107,11 +117,11 @@ def _signatures(rows: DataFrame, id_col: str, plan: Plan) -> DataFrame:
             keys, sizes, values = [], [], []
             for text in batch.column(2).to_pylist():
                 s = shingle_set(text, plan.shingle)
-                bits = fingerprint_bits(s, 64 * CHECK + width * blocks)
+                bits = fingerprint_bits(s, 64 * SIGNS + width * blocks)
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sizes.append(len(s))
-                check = np.packbits(bits[: 64 * CHECK], bitorder="little").view("<i8")
-                values.append(np.concatenate((check, bits[64 * CHECK :].reshape(blocks, width) @ weights)))
+                check = np.packbits(np.concatenate((bits[: 64 * SIGNS], bin_parities(s))), bitorder="little").view("<i8")
+                values.append(np.concatenate((check, [len(s)], bits[64 * SIGNS :].reshape(blocks, width) @ weights)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), _lists(values)], [RID, "id", "key", "n", "bits"])
 
     kind = rows.schema[id_col].dataType.simpleString()
@@ -128,6 +138,11 @@ def _sets(rows: DataFrame, text_col: str, shingle: int) -> DataFrame:
     return rows.select(RID, F.col(f"`{text_col}`").cast("binary")).mapInArrow(run, f"{RID} long, set array<long>")
 
 
+def _differ(a: str, b: str, places: Iterable[int]) -> Column:
+    """The number of bits in which two columns of numbers differ at some places."""
+    return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in places), F.lit(0))
+
+
 @dataclass(frozen=True)
 class Plan:
     width: int
@@ -137,16 +152,17 @@ class Plan:
     text_col: str = "text"
 
     def close(self, a: str, b: str) -> Column:
-        """Whether two columns of bits differ in no more places than sets at the similarity may."""
-        n, p = 64 * CHECK + self.width * self.blocks, bit_difference(self.percent / 100)
-        differ = sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(CHECK + self.blocks)), F.lit(0))
-        return differ <= math.ceil(n * p + 3 * math.sqrt(n * p * (1 - p)))
+        """Whether two columns of bits differ in no more places than sets at the similarity may, and in no more parities than they can."""
+        n, p = 64 * SIGNS + self.width * self.blocks, bit_difference(self.percent / 100)
+        differ = _differ(a, b, [*range(SIGNS), *range(CHECK, CHECK + self.blocks)])
+        sizes = F.get(a, F.lit(CHECK - 1)).cast("double") + F.get(b, F.lit(CHECK - 1)).cast("double")
+        at_least = _differ(a, b, range(SIGNS, SIGNS + PARITY))
+        return (differ <= math.ceil(n * p + 3 * math.sqrt(n * p * (1 - p)))) & (at_least * (100 + self.percent) <= sizes * (100 - self.percent))
 
     def alike(self, a: str, b: str) -> Column:
         """Whether the first ``PEEK`` 64 bits of two columns of bits look close: five standard deviations are allowed, so it leaves what ``close`` finds."""
         n, p = 64 * PEEK, bit_difference(self.percent / 100)
-        differ = sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(PEEK)), F.lit(0))
-        return differ <= math.ceil(n * p + 5 * math.sqrt(n * p * (1 - p)))
+        return _differ(a, b, range(PEEK)) <= math.ceil(n * p + 5 * math.sqrt(n * p * (1 - p)))
 
     def meet_first(self, a: str, b: str, variant: Column) -> Column:
         """Whether of all variants at which the balls of two columns of bits meet this is the one that counts: in the first such block, the smaller."""
