@@ -106,3 +106,32 @@ def test_small_helpers(spark, tmp_path):
     query = scoring.award_counts(stream, "t").writeStream.format("memory").queryName("awards").outputMode("complete").option("checkpointLocation", f"file://{tmp_path}/c").trigger(availableNow=True).start()
     query.awaitTermination(60)
     assert [(r["n"], r["valor"]) for r in spark.table("awards").collect()] == [(2, 5.0)]
+
+
+def test_names_are_compared_only_with_likely_matches(spark, monkeypatch):
+    """Numbered names share most of their grams: all matches are those of all pairs, and few others are compared."""
+    import math
+    from collections import Counter
+
+    rng = random.Random(6)
+    left = [f"Proveedor {rng.randrange(3000):09d}" for _ in range(150)] + ["Obras del Norte SAS", "A", ""]
+    right = [f"PROVEEDOR - {i:09d}" for i in range(0, 3000, 5)] + ["Obras del Norte S.A.S.", "obras del nortes sas", "a", None]
+    clean = lambda t: " ".join("".join(c if c.isalnum() else " " for c in (t or "").upper()).split())
+    names = {(s, clean(t)) for s, ts in (("l", left), ("r", right)) for t in ts if clean(t)}
+    grams = {k: Counter(p[i : i + 3] for p in [f" {k[1]} "] for i in range(len(p) - 2)) for k in names}
+    df = Counter(g for c in grams.values() for g in c)
+    unit = {}
+    for k, c in grams.items():
+        w = {g: tf * (math.log((1 + len(names)) / (1 + df[g])) + 1) for g, tf in c.items()}
+        unit[k] = {g: x / math.sqrt(sum(y * y for y in w.values())) for g, x in w.items()}
+    seen = []
+    monkeypatch.setattr(graph, "checkpointed", lambda t, real=graph.checkpointed: seen.append(real(t)) or seen[-1])
+    tables = [spark.createDataFrame([*enumerate(ts)], "id int, name string") for ts in (left, right)]
+    for least in (0.85, 0.7):
+        like = {(a, b): s for _, a in (k for k in names if k[0] == "l") for _, b in (k for k in names if k[0] == "r") if (s := sum(x * unit["r", b].get(g, 0) for g, x in unit["l", a].items())) >= least}
+        want = sorted((i, j) for i, t in enumerate(left) for j, u in enumerate(right) if (clean(t), clean(u)) in like)
+        seen.clear()
+        got = sorted((r["left_id"], r["right_id"]) for r in graph.ngram_match(*tables, "id", "name", "id", "name", min_similarity=least, top=1000).collect())
+        assert got == want and len(want) > 20
+        compared = [t.count() for t in seen if t.columns == ["a", "b"]]
+        assert len(compared) == 1 and compared[0] <= len(left) * len(right) // 20

@@ -9,6 +9,10 @@ from ..functions.text import normalize_name
 from .shared import checkpointed
 from .thresholds import with_group_median
 
+FEW = 8.0  # names that a key of grams is expected to fit
+KEY = 4  # grams of a key at most
+_SLACK = 1e-9  # of sums of doubles
+
 
 def nodes_of(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """(kind, id) of all node tables, given with their key column."""
@@ -27,30 +31,27 @@ def edges_asof(edges: DataFrame, day: Column, at: Column) -> DataFrame:
 def ngram_match(left: DataFrame, right: DataFrame, left_id: str, left_name: str, right_id: str, right_name: str, n: int = 3, min_similarity: float = 0.85, top: int = 3) -> DataFrame:
     """(left_id, right_id, similarity): TF-IDF cosine over character n-grams of normalised names.
 
-    Equal names collapse first. Candidates meet on the grams of the longer vectors' prefix: by
-    ascending frequency, as many grams as a pair above the threshold must share one of.
+    Equal names collapse first. What a match does not share is at most 1 - min_similarity² of a
+    vector's square, so the rarest grams that both have are found by skipping no more than that:
+    names meet at keys made of them (see ``_keys``). Only the names that meet are compared.
     """
-    def grams(df: DataFrame, key: str, name: str, side: str) -> DataFrame:
-        names = df.select(normalize_name(F.col(name)).alias("name")).filter("name <> ''").distinct()
-        padded = F.concat(F.lit(" "), F.col("name"), F.lit(" "))
-        g = F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1))), lambda i: F.substr(padded, i, F.lit(n)))
-        return names.select("name", F.explode(g).alias("gram")).groupBy("name", "gram").agg(F.count(F.lit(1)).alias("tf")).withColumn("side", F.lit(side))
-
-    both = grams(left, left_id, left_name, "l").unionByName(grams(right, right_id, right_name, "r"))
-    df_ = both.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    total = both.select("side", "name").distinct().agg(F.count(F.lit(1)).alias("total"))
-    w = both.join(df_, "gram").crossJoin(F.broadcast(total)).withColumn("w", F.col("tf") * (F.log((1.0 + F.col("total")) / (1.0 + F.col("df"))) + 1.0))
-    norm = w.groupBy("side", "name").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    w = w.join(norm, ["side", "name"]).withColumn("w", F.col("w") / F.col("norm"))
-    # the rest of a vector after its prefix is shorter than the threshold, so a match shares a prefix gram
-    rest = Window.partitionBy("side", "name").orderBy(F.desc("df"), "gram").rowsBetween(Window.unboundedPreceding, 0)
-    w = w.withColumn("tail", F.sqrt(F.sum(F.col("w") * F.col("w")).over(rest)))
-    prefix = w.filter(F.col("tail") >= min_similarity)
-    a, b = w.filter("side = 'l'").select(F.col("name").alias("a"), "gram", F.col("w").alias("wa")), w.filter("side = 'r'").select(F.col("name").alias("b"), "gram", F.col("w").alias("wb"))
-    pa = prefix.filter("side = 'l'").select(F.col("name").alias("a"), "gram")
-    pb = prefix.filter("side = 'r'").select(F.col("name").alias("b"), "gram")
-    pairs = pa.join(pb, "gram").select("a", "b").distinct()
-    like = pairs.join(a, "a").join(b, ["b", "gram"]).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity")).filter(F.col("similarity") >= min_similarity)
+    both = [df.select(F.lit(side).alias("side"), normalize_name(F.col(name)).alias("name")).filter("name <> ''") for side, df, name in (("l", left, left_name), ("r", right, right_name))]
+    names = both[0].unionByName(both[1]).distinct()
+    counts = checkpointed(_grams(names, n).groupBy("gram").agg(F.count(F.lit(1)).alias("df")))
+    total = checkpointed(names.agg(F.count(F.lit(1)).alias("total")))
+    if n <= 3:  # of letters, digits and blanks: 37³ at most
+        counts = F.broadcast(counts)
+
+    keys = _keys(_vectors(names, counts, total, n), 1 - min_similarity * min_similarity, n)
+    a, b = (keys.filter(F.col("side") == side).select("key", F.col("name").alias(at), F.col("xs").alias(f"x{at}"), F.col("rest").alias(f"r{at}")) for side, at in (("l", "a"), ("r", "b")))
+    most = F.aggregate(F.zip_with("xa", "xb", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x) + F.sqrt(F.col("ra") * F.col("rb"))
+    pairs = checkpointed(a.join(b, "key").filter(most >= min_similarity - _SLACK).select("a", "b").distinct())
+    met = pairs.select(F.lit("l").alias("side"), F.col("a").alias("name")).unionByName(pairs.select(F.lit("r").alias("side"), F.col("b").alias("name"))).distinct()
+    vectors = _vectors(met, counts, total, n)
+    va, vb = (vectors.filter(F.col("side") == side).select(F.col("name").alias(at), F.col("v").alias(f"v{at}")) for side, at in (("l", "a"), ("r", "b")))
+    weights = F.map_from_entries(F.transform("vb", lambda e: F.struct(e["gram"], e["x"])))
+    dot = F.aggregate("va", F.lit(0.0), lambda s, e: s + e["x"] * F.coalesce(F.try_element_at("wb", e["gram"]), F.lit(0.0)))
+    like = pairs.join(va, "a").join(vb.select("b", weights.alias("wb")), "b").select("a", "b", dot.alias("similarity")).filter(F.col("similarity") >= min_similarity)
     best = Window.partitionBy("a").orderBy(F.desc("similarity"), "b")
     like = like.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     l = left.select(F.col(left_id).alias("left_id"), normalize_name(F.col(left_name)).alias("a"))  # noqa: E741
@@ -58,6 +59,51 @@ def ngram_match(left: DataFrame, right: DataFrame, left_id: str, left_name: str,
     return l.join(like, "a").join(r, "b").select("left_id", "right_id", F.round("similarity", 6).alias("similarity"))
 
 
+def _grams(names: DataFrame, n: int) -> DataFrame:
+    """(side, name, gram, tf)"""
+    padded = F.concat(F.lit(" "), F.col("name"), F.lit(" "))
+    g = F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1))), lambda i: F.substr(padded, i, F.lit(n)))
+    return names.select("side", "name", F.explode(g).alias("gram")).groupBy("side", "name", "gram").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def _vectors(names: DataFrame, counts: DataFrame, total: DataFrame, n: int) -> DataFrame:
+    """(side, name, total, v): v has gram, df and x, its weight in the unit vector, by ascending frequency."""
+    w = F.col("tf") * (F.log((1.0 + F.col("total")) / (1.0 + F.col("df"))) + 1.0)
+    each = _grams(names, n).join(counts, "gram").crossJoin(F.broadcast(total)).select("side", "name", "total", "gram", "df", w.alias("w"))
+    v = each.groupBy("side", "name").agg(F.first("total").alias("total"), F.sort_array(F.collect_list(F.struct("df", "gram", "w"))).alias("v"))
+    v = v.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e["w"] * e["w"])))
+    return v.select("side", "name", "total", F.transform("v", lambda e: F.struct(e["gram"].alias("gram"), e["df"].alias("df"), (e["w"] / F.col("norm")).alias("x"))).alias("v"))
+
+
+def _keys(vectors: DataFrame, budget: float, n: int) -> DataFrame:
+    """(side, name, key, xs, rest): all that the rarest grams shared with a match can be; the weights of these grams, and the square of those behind them.
+
+    A key goes on until few names are expected to fit it, or to the end of the shared grams. Whether it
+    goes on depends on its own grams alone, so both names of a match have the key of what they share.
+    A gram that continues another one of the key by a letter is expected in a tenth of the names that fit.
+    """
+    upto = F.aggregate("v", F.array(F.lit(0.0)), lambda s, e: F.concat(s, F.array(F.element_at(s, -1) + e["x"] * e["x"])))
+    none = F.array().cast("array<string>"), F.array().cast("array<double>")
+    start = F.struct(F.lit(0).alias("next"), F.lit(0.0).alias("skipped"), none[0].alias("key"), none[1].alias("xs"), F.col("total").cast("double").alias("fit"), F.lit(False).alias("done"))
+    rows = vectors.select("side", "name", "total", "v", upto.alias("upto"), F.size("v").alias("size"), start.alias("s"))
+    skipped = lambda q: F.col("s.skipped") + F.get("upto", q) - F.get("upto", F.col("s.next"))
+    ended = F.struct(F.col("size").alias("next"), skipped(F.col("size")).alias("skipped"), F.concat("s.key", F.array(F.lit(""))).alias("key"), F.concat("s.xs", F.array(F.lit(0.0))).alias("xs"), F.col("s.fit").alias("fit"), F.lit(True).alias("done"))
+    for k in range(1, KEY + 1):
+
+        def longer(q: Column, k: int = k) -> Column:
+            gram, df, x = (F.get("v", q)[f] for f in ("gram", "df", "x"))
+            follows = F.exists(F.col("s.key"), lambda p: (F.substr(p, F.lit(2)) == F.substr(gram, F.lit(1), F.lit(n - 1))) | (F.substr(gram, F.lit(2)) == F.substr(p, F.lit(1), F.lit(n - 1))))
+            fit = F.col("s.fit") * F.when(follows, F.lit(0.1)).otherwise(df / F.col("total"))
+            return F.struct((q + 1).alias("next"), skipped(q).alias("skipped"), F.concat("s.key", F.array(gram)).alias("key"), F.concat("s.xs", F.array(x)).alias("xs"), fit.alias("fit"), ((fit <= FEW) | F.lit(k == KEY)).alias("done"))
+
+        there = F.when(F.col("s.next") < F.col("size"), F.sequence("s.next", F.col("size") - 1)).otherwise(F.array().cast("array<int>"))
+        more = F.transform(F.filter(there, lambda q: skipped(q) <= budget + _SLACK), longer)
+        last = F.filter(F.array(ended), lambda e: e["skipped"] <= budget + _SLACK)
+        rows = rows.withColumn("s", F.explode(F.when(F.col("s.done"), F.array("s")).otherwise(F.concat(more, last))))
+    rest = F.greatest(F.get("upto", F.col("size")) - F.get("upto", F.col("s.next")), F.lit(0.0))
+    return rows.select("side", "name", F.col("s.key").alias("key"), F.col("s.xs").alias("xs"), rest.alias("rest"))
+
+
 def two_hops(first: DataFrame, second: DataFrame) -> DataFrame:
     """(source, via, target) over two tables of (source, target)."""
     return first.select("source", F.col("target").alias("via")).join(second.select(F.col("source").alias("via"), "target"), "via").select("source", "via", "target").distinct()
